@@ -4,22 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, oracles, quality
-from .common import table
+from . import line_dedup, oracles, packing, quality, token_files
+from .common import table, workspace
+
+BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, "byte", with_ids=False)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{workspace(spark)}/files"
+    token_files.write_files(table(spark, sf_dir, "documents"), folder, WORD_BPE, "word")
+    return token_files.read_files(spark, folder)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_token_files": op6_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
 
