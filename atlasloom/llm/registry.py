@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, oracles, packing, quality, token_files
+from . import jaccard, line_dedup, oracles, packing, quality, token_files
 from .common import table, workspace
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(spark, folder)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 

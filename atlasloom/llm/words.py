@@ -17,18 +17,19 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 #: An odd multiplier for the byte positions, and a 64-bit value for each byte.
 _STEP = 0x9E3779B97F4A7C15 | 1
+_BACK = pow(_STEP, -1, 1 << 64)
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-_powers = np.ones(1, np.uint64)
+_powers: dict[int, np.ndarray] = {}
 
 
-def _positions(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        more = np.full(n, _STEP, np.uint64)
+def _positions(step: int, n: int) -> np.ndarray:
+    """Powers of step, modulo 2**64."""
+    if len(_powers.get(step, ())) < n:
+        more = np.full(n, step, np.uint64)
         more[0] = 1
         np.multiply.accumulate(more, out=more)
-        _powers = more
-    return _powers[:n]
+        _powers[step] = more
+    return _powers[step][:n]
 
 
 @dataclass
@@ -51,12 +52,12 @@ class Texts:
         self.space = _SPACE[self.raw]
         n = len(raw)
         self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.raw] * _positions(n + 1)[:n], out=self._sums[1:])
+        np.cumsum(_BYTE[self.raw] * _positions(_STEP, n + 1)[:n], out=self._sums[1:])
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Equal bytes give equal values wherever they stand: the sums are lifted to one common position."""
-        lift = _positions(len(self.raw) + 1)[len(self.raw) - start]
-        return mixed((self._sums[end] - self._sums[start]) * lift + (end - start).astype(np.uint64))
+        """Equal bytes give equal values wherever they stand, in any slice: the sums are moved back to position 0."""
+        back = _positions(_BACK, len(self.raw) + 1)[start]
+        return mixed((self._sums[end] - self._sums[start]) * back + (end - start).astype(np.uint64))
 
     def words(self) -> Spans:
         n = len(self.raw)
