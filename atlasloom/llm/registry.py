@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, line_dedup, oracles, packing, quality, token_files
+from . import jaccard, line_dedup, oracles, packing, quality, token_files, topk
 from .common import table, workspace
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents"))
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"))
 
@@ -40,10 +45,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_topk_search": op9_topk_search,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": oracles.LINE_DEDUP,
+    "op9_topk_search": oracles.TOP_K,
     "op10_quality_rules": oracles.QUALITY,
 }
