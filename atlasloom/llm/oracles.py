@@ -53,3 +53,45 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(list_zip(q.
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
+
+
+def _licences() -> str:
+    from .licenses import CUT, LOWER, RULES, SENTENCES, UPPER
+
+    known = ", ".join(f"('{name}', '{sentence}')" for name, sentence in SENTENCES.items())
+    rules = ", ".join(f"('{licence}', '{kind}', '%{'%'.join(f'<{i}>' for i in ids)}%')" for licence, kind, ids in RULES)
+    return rf"""
+WITH known(name, sentence) AS (VALUES {known}), rules(licence, kind, pattern) AS (VALUES {rules}),
+s AS (SELECT doc_id, unnest(p) AS part, generate_subscripts(p, 1) AS pos FROM (SELECT doc_id,
+      string_split(regexp_replace(translate(text, '{UPPER}', '{LOWER}'), '{CUT}', chr(10), 'g'), chr(10)) AS p FROM documents)),
+k AS (SELECT doc_id, pos, name FROM s JOIN known ON sentence = trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g'))),
+q AS (SELECT doc_id, count(*) AS n, string_agg(name, ' ' ORDER BY pos) AS ids, '<' || string_agg(name, '><' ORDER BY pos) || '>' AS line FROM k GROUP BY doc_id),
+m AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, string_agg(DISTINCT kind, ',' ORDER BY kind) AS classes
+      FROM q JOIN rules ON line LIKE pattern GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_known, coalesce(ids, '') AS identifiers, coalesce(licences, '') AS licences, coalesce(classes, '') AS classes
+FROM documents d LEFT JOIN q USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
+LICENCES = _licences()
+
+URL_FILTERS = r"""
+WITH u AS (SELECT page_id, lower(url) AS url, DATE '2024-01-01' + (page_id % 366)::INTEGER AS fetched FROM pages),
+h AS (SELECT *, nullif(regexp_extract(url, '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '') AS host,
+             nullif(regexp_extract(url, '^[a-z][a-z0-9+.\-]*://[^/?#]*(/[^/?#]*)', 1), '') AS path FROM u),
+c AS (SELECT *, nullif(regexp_extract(host, '((?:[^.]+\.){0,2}[^.]+)$', 1), '') AS site, host || path AS prefix FROM h),
+keys AS (SELECT DISTINCT scope, pattern FROM (SELECT 'host' AS scope, host AS pattern FROM c UNION ALL SELECT 'site', site FROM c
+         UNION ALL SELECT 'prefix', prefix FROM c) WHERE pattern IS NOT NULL),
+x AS (SELECT *, md5(scope || ' ' || pattern) AS m FROM keys),
+y AS (SELECT scope, pattern, ('0x' || m[1:3])::INTEGER AS a, ('0x' || m[4:6])::INTEGER AS b, ('0x' || m[7:9])::INTEGER AS c FROM x
+      WHERE ('0x' || m[10:12])::INTEGER % 3 = 0),
+e AS (SELECT scope, pattern, a % 300 AS day, true AS listed FROM y UNION ALL SELECT scope, pattern, a % 300 + 1 + b % 60, false FROM y WHERE b % 2 = 0
+      UNION ALL SELECT scope, pattern, a % 300 + 70 + c % 60, true FROM y WHERE b % 2 = 0 AND c % 2 = 0),
+now AS (SELECT c.page_id, k.scope, arg_max(e.listed, (e.day, e.listed)) AS listed, arg_max(DATE '2024-01-01' + e.day, (e.day, e.listed)) AS since
+        FROM c, LATERAL (SELECT 'host' AS scope, c.host AS key UNION ALL SELECT 'site', c.site UNION ALL SELECT 'prefix', c.prefix) k
+        JOIN e ON e.scope = k.scope AND e.pattern = k.key AND DATE '2024-01-01' + e.day <= c.fetched GROUP BY ALL),
+a AS (SELECT page_id, max(since) FILTER (scope = 'host') AS host_since, max(since) FILTER (scope = 'site') AS site_since,
+             max(since) FILTER (scope = 'prefix') AS prefix_since FROM now WHERE listed GROUP BY page_id)
+SELECT c.page_id, c.host, host_since::VARCHAR AS host_since, site_since::VARCHAR AS site_since, prefix_since::VARCHAR AS prefix_since, coalesce(host_since, site_since, prefix_since) IS NOT NULL AS blocked
+FROM c LEFT JOIN a USING (page_id)
+"""

@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard, line_dedup, oracles, packing, quality, token_files, topk
+from . import jaccard, licenses, line_dedup, oracles, packing, quality, token_files, topk, url_filters
 from .common import table, workspace
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures have no fetch time of their own: page_id gives each a day of 2024."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int"))
+    found = url_filters.apply_lists(pages.withColumn("fetched", fetched), url_filters.sample_history(pages))
+    return found.withColumns({f"{s}_since": F.col(f"{s}_since").cast("string") for s in url_filters.SCOPES})
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, "byte", with_ids=False)
 
@@ -41,7 +54,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_packing": op2_packing,
+    "op3_url_filters": op3_url_filters,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
     "op8_jaccard_join": op8_jaccard_join,
@@ -50,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_license_scan": oracles.LICENCES,
+    "op3_url_filters": oracles.URL_FILTERS,
     "op5_line_dedup": oracles.LINE_DEDUP,
     "op9_topk_search": oracles.TOP_K,
     "op10_quality_rules": oracles.QUALITY,
