@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, line_dedup, oracles, packing, quality, token_files, topk, url_filters
+from . import chat, jaccard, licenses, line_dedup, oracles, packing, pieces, quality, token_files, topk, url_filters
 from .common import table, workspace
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, "byte", with_ids=False)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_calls(*chat.exchanges(table(spark, sf_dir, "conversations")), chat.REPLY)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -57,8 +66,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_packing": op2_packing,
     "op3_url_filters": op3_url_filters,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
+    "op7_chat_formatting": op7_chat_formatting,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_topk_search": op9_topk_search,
     "op10_quality_rules": op10_quality_rules,
@@ -68,6 +79,7 @@ ORACLES: dict[str, str] = {
     "op1_license_scan": oracles.LICENCES,
     "op3_url_filters": oracles.URL_FILTERS,
     "op5_line_dedup": oracles.LINE_DEDUP,
+    "op7_chat_formatting": oracles.CHAT,
     "op9_topk_search": oracles.TOP_K,
     "op10_quality_rules": oracles.QUALITY,
 }
