@@ -19,10 +19,12 @@ from itertools import filterfalse
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-#: Cached pieces per worker; the cache starts anew beyond it. A bound on memory alone: the ids do not depend on it.
-CACHED = 500_000
+#: Cached pieces per worker: beyond it a new cache begins, into which pieces of the old one move when they
+#: are met again. A bound on memory alone: the ids do not depend on it.
+CACHED = 450_000
 _DISPUTED = re.compile("[\x1c-\x1f]")
 _RUN = re.compile(r"\s\s")
+_PLAIN = re.compile("[^\\s\x01\x1e]+").fullmatch
 _PIECE = re.compile(r"\s+(?!\S)|\s?\S+|\s+")
 _encoders: dict[tuple[str, str], Encoder] = {}
 
@@ -39,41 +41,38 @@ class Encoder:
         mark = self._whole(["\n" if style == "byte" else "\x01"])[0]
         self.mark = int(np.frombuffer(mark, self.dtype)[0]) if len(mark) == self.dtype.itemsize else None
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # the library's own word cache only costs time below this one
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces without white space but a leading space: encoded as one text with separators between."""
+    def _joined(self, pieces: list[str], lead: str) -> list[bytes]:
+        """Ids of pieces without white space, each after `lead`: encoded as one text with separators between."""
         if self.mark is None or len(pieces) < 2:
-            return self._whole(pieces)
-        ids = np.array(self.tokenizer.encode_batch_fast([self.separator.join(pieces)], add_special_tokens=False)[0].ids, self.dtype)
+            return self._whole([lead + p for p in pieces])
+        ids = np.array(self.tokenizer.encode_batch_fast([lead + (self.separator + lead).join(pieces)], add_special_tokens=False)[0].ids, self.dtype)
         at = np.flatnonzero(ids == self.mark)
         if len(at) != len(pieces) - 1:
-            return self._whole(pieces)
+            return self._whole([lead + p for p in pieces])
         raw, size = ids.tobytes(), self.dtype.itemsize
-        low, high = [0, *((at + 1) * size).tolist()], [*(at * size).tolist(), len(raw)]
-        return [raw[a:b] for a, b in zip(low, high, strict=True)]
+        return [raw[a:b] for a, b in zip([0, *((at + 1) * size).tolist()], [*(at * size).tolist(), len(raw)], strict=True)]
 
     def _learn(self, keys: list[str]) -> None:
-        plain, odd = [], []
-        for key in keys:
-            text = self._literal(key)
-            body = text[1:] if self.style == "byte" and text[:1] in (" ", "\n") else text
-            simple = body and not body.isspace() and len(body.split()) == 1 and len(body.strip()) == len(body) and "\x01" not in body
-            (plain if simple else odd).append((key, text))
-        for low in range(0, len(plain), 4096):
-            part = plain[low : low + 4096]
-            lead = self._ids_of_newline() if self.style == "byte" else b""
-            for (key, text), ids in zip(part, self._joined([t[1:] if t[0] == "\n" else t for _, t in part]), strict=True):
-                self.cache[key] = lead + ids if text[0] == "\n" else ids
-        for (key, _), ids in zip(odd, self._whole([t for _, t in odd]) if odd else [], strict=True):
-            self.cache[key] = ids
-
-    def _ids_of_newline(self) -> bytes:
-        if "\x1e\n" not in self.cache:
-            self.cache["\x1e\n"] = self._whole(["\n"])[0]
-        return self.cache["\x1e\n"]
+        plain = list(filter(_PLAIN, keys))
+        lead = " " if self.style == "byte" else ""
+        for low in range(0, len(plain), 8192):
+            part = plain[low : low + 8192]
+            self.cache.update(zip(part, self._joined(part, lead), strict=True))
+        if len(plain) < len(keys):
+            odd = list(filterfalse(_PLAIN, keys))
+            marked = [k for k in odd if self.style == "byte" and self.mark is not None and k[:1] in ("\n", "\x1e") and _PLAIN(k[1:])]
+            newline = np.array([self.mark or 0], self.dtype).tobytes()
+            for key, ids in zip(marked, self._joined([k[1:] for k in marked], "") if marked else [], strict=True):
+                self.cache[key] = newline + ids if key[0] == "\n" else ids
+            odd = list(set(odd).difference(marked))
+            self.cache.update(zip(odd, self._whole([self._literal(k) for k in odd]) if odd else [], strict=True))
 
     def _literal(self, key: str) -> str:
         """The text that a key of the byte style stands for: a space comes before it unless marked otherwise."""
@@ -95,10 +94,14 @@ class Encoder:
         disputed = {i for i, t in enumerate(texts) if _DISPUTED.search(t)}
         parts = [[] if i in disputed else self._pieces(t) for i, t in enumerate(texts)]
         if len(self.cache) > CACHED:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
         known, new = self.cache.__contains__, set()
         for p in parts:
             new.update(filterfalse(known, p))
+        if self.older:
+            again = new & self.older.keys()
+            self.cache.update(zip(again, map(self.older.__getitem__, again), strict=True))
+            new -= again
         if new:
             self._learn(list(new))
         get = self.cache.__getitem__
