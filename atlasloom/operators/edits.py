@@ -79,7 +79,9 @@ def changed_documents(edits: DataFrame, snapshot: DataFrame, organizations: Data
         def say(kind: str, detail: str) -> None:
             issues.append({"kind": kind, "location_id": key, "detail": detail})
 
-        cells, new = json.loads(r["cells"]), r["base"] is None
+        (cells, bad), new = patches.cells_of(json.loads(r["cells"])), r["base"] is None
+        for column in bad:
+            say("input_column_type", column)
         if new:
             say("new_location" if r["given"] else "new_location_generated_id", "not in the snapshot")
         before = {"resourceType": "Location", "id": key} if new else json.loads(r["base"])
