@@ -66,6 +66,7 @@ def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, mi
     path = workspace(docs.sparkSession)
     keys = materialize(line_keys(docs, id_col, text_col, min_chars), f"{path}/keys")
     often = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("last")).where(F.col("n") >= min_documents).drop("n")
+    often = materialize(often, f"{path}/often")  # apart from the join, whose hot keys can then be split, or which needs no shuffle at all
     return keys.join(often, "key").where("doc < last").groupBy("doc").agg(F.collect_set("key").alias("drops"))
 
 
