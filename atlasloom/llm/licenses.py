@@ -1,9 +1,14 @@
 """Licence scans by sentence rules, in DataFrame functions alone.
 
-A text is cut into sentences at line ends and at . ! ? ; : before white space or the end; A-Z are
-lower-cased and every run of other characters than a-z and 0-9 becomes one space. Sentences that are known
-turn into identifiers, and a licence is recognised where the identifiers of one of its rules occur in the
-rule's order (others may stand between).
+A text is cut into fragments at line ends and at . ! ? ; : before white space or the end; A-Z are
+lower-cased and every run of other characters than a-z and 0-9 becomes one space. A known sentence is one
+fragment, or several that single line ends divide: hard-wrapped paragraphs count as written on one line,
+comment leaders (signs, `rem`, `dnl`) and list items' marks at the start of a line left out, while blank lines
+and the signs above always end a sentence. Of known sentences that overlap the first counts, and of those that begin
+together the shortest. Known sentences turn into identifiers, and a licence is recognised where the
+identifiers of one of its rules occur in the rule's order (others may stand between).
+
+The SQL knows CUT alone: it gives the same for texts whose known sentences stand on one line each.
 
 One pass over the scan without a shuffle or a join: the known sentences and the rules are a fixed table of
 this module, carried in the plan. A text is cut only if it holds a word without which no known sentence
@@ -92,6 +97,10 @@ RULES = [
 #: Every known sentence holds one of these; a text without them is not cut.
 ANCHORS = ["licen", "permission", "warrant", "redistribut", "free software", "free and unencumbered"]
 CUT = r"[.!?;:]+([\x20\x09-\x0D]|$)|[\x0A-\x0D]"
+#: What starts a line without belonging to its sentence, ends of sentences, and line ends; the latter two become X and N, which no lower-cased text holds.
+LEADER = r"(?<![^\x0A-\x0D])[^a-z0-9\x0A-\x0D]*(?:(?:rem|dnl)[\x20\x09]+|(?:[0-9]{1,3}|[a-z]|[ivx]{1,5})\)[^a-z0-9\x0A-\x0D]*)?"
+STOP = r"(?<![.!?;:])[.!?;:]++(?:[\x20\x09-\x0D]|\z)"
+LINE_END = r"\x0D\x0A|[\x0A-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -108,12 +117,24 @@ def _words_of_anchor(text: Column) -> Column:
     return found
 
 
+def _pattern() -> str:
+    """Any known sentence as a whole number of fragments, the shortest first."""
+    return "(?<![^XN])(?:" + "|".join(s.replace(" ", "[ N]") for s in sorted(SENTENCES.values(), key=len)) + ")(?![^XN])"
+
+
+def _marked(text: Column) -> Column:
+    """The text's words with one space, or X or N, between two; N N (a blank line) stays two marks."""
+    text = F.regexp_replace(F.translate(text, UPPER, LOWER), LEADER, "")
+    text = F.regexp_replace(F.regexp_replace(text, STOP, "X"), LINE_END, "N")
+    return F.trim(F.regexp_replace(F.regexp_replace(text, "[^a-z0-9XN]+", " "), " ?([XN]) ?", "$1"))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_known (known sentences), identifiers (in order, by spaces), licences and classes (sorted, by commas; empty if none)."""
     known = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
     text = docs[text_col].cast("string")
-    cut = F.split(F.regexp_replace(F.translate(text, UPPER, LOWER), CUT, "\n"), "\n")
-    names = F.transform(cut, lambda s: F.element_at(known, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))))
+    found = F.regexp_extract_all(_marked(text), F.lit(_pattern()), F.lit(0))
+    names = F.transform(found, lambda s: F.element_at(known, F.translate(s, "N", " ")))
     none = F.array().cast("array<string>")
     rows = docs.select(docs[id_col].alias("_id"), F.when(_words_of_anchor(text), F.array_compact(names)).otherwise(none).alias("_names"))
     rows = rows.select("_id", F.coalesce("_names", none).alias("_names"))

@@ -148,6 +148,90 @@ def test_licence_rules_need_their_order(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Holder
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY.
+"""
+BSD3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+def licences_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r["identifiers"], r["licences"]) for r in sorted(licenses.scan(docs).collect())]
+
+
+def led(text, leader, end="\n"):
+    return end.join(leader + line for line in text.split("\n"))
+
+
+def test_wrapped_notices_are_recognised(spark):
+    notices = {MIT: "MIT", BSD3: "BSD-2-Clause,BSD-3-Clause", ISC: "ISC", APACHE: "Apache-2.0", GPL3: "GPL-3.0"}
+    for leader, end in (("", "\n"), (" * ", "\n"), ("# ", "\r\n"), ("// ", "\n"), (";; ", "\n"), ("rem ", "\n"), ("! ", "\n"), ("> ", "\r")):
+        assert [got for _, got in licences_of(spark, [led(n, leader, end) for n in notices])] == list(notices.values()), leader
+    assert licences_of(spark, [MIT])[0][0] == "mit-title-short mit-grant mit-notice as-is"
+    items = BSD3.replace("1. ", "(a) ").replace("2. ", "2) ").replace("3. ", "* ")
+    title = "A title\n" + ISC.rstrip()[:-1] + "\nanother line"
+    apart = ["Released under\n\nthe MIT License", "Released under the.\nMIT License", "Released under\nthe MIT License too", "released\n#\nunder the MIT License"]
+    got = licences_of(spark, [items, title, "Released under\n\tthe MIT License", *apart, "." * 100_000 + "licence"])
+    assert got == [("bsd-grant bsd-source bsd-binary bsd-names", "BSD-2-Clause,BSD-3-Clause"), ("isc-grant", "ISC"), ("mit-ref", "MIT"), ("mit-title", ""), ("mit-title-short", ""), ("", ""), ("", ""), ("", "")]
+
+
 def test_url_lists_hold_at_fetch_time(spark):
     entries = spark.createDataFrame([("host", "a.b.example.com", "2024-01-10", True), ("host", "a.b.example.com", "2024-02-10", False), ("host", "a.b.example.com", "2024-02-10", False), ("host", "a.b.example.com", "2024-03-10", True), ("site", "b.example.com", "2024-06-01", True), ("prefix", "c.org/en", "2024-01-01", True), ("prefix", "c.org/en", "2024-01-01", False), (None, None, None, None)], "scope string, pattern string, at string, listed boolean").selectExpr("scope", "pattern", "cast(at as date) as at", "listed")
     cases = [("https://a.b.example.com/x", "2024-01-09", False), ("HTTPS://user@A.b.example.com:80/x", "2024-01-10", True), ("https://a.b.example.com/x", "2024-02-10", False), ("https://a.b.example.com/x", "2024-03-11", True), ("https://z.b.example.com", "2024-06-01", True), ("http://c.org/en/1", "2024-05-05", True), ("http://c.org/english", "2024-05-05", False), (None, "2024-05-05", False), ("not a url", "2024-05-05", False), ("http://c.org/en", None, False)]
