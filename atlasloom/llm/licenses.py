@@ -8,7 +8,8 @@ and the signs above always end a sentence. Of known sentences that overlap the f
 together the shortest. Known sentences turn into identifiers, and a licence is recognised where the
 identifiers of one of its rules occur in the rule's order (others may stand between).
 
-The SQL knows CUT alone: it gives the same for texts whose known sentences stand on one line each.
+The SQL knows CUT, SENTENCES and RULES alone: it gives the same for texts whose known sentences are among
+these and stand on one line each. An SPDX tag counts if it names one licence; expressions (OR, AND, WITH) do not.
 
 One pass over the scan without a shuffle or a join: the known sentences and the rules are a fixed table of
 this module, carried in the plan. A text is cut only if it holds a word without which no known sentence
@@ -94,12 +95,55 @@ RULES = [
     ("MPL-2.0", "copyleft", ["mpl2-ref"]),
     ("Unlicense", "permissive", ["unlicense"]),
 ]
+_TERMS = "you can redistribute it and or modify it under the terms of the gnu {} public license as published by the free software foundation | "
+_LATER, _ONLY = "either version {} of the license or at your option any later version", "version {} of the license"
+# Identifier, licence, public licence of GNU, version.
+_GNU = [
+    ("gpl2", "GPL-2.0", "general", "2"), ("gpl3", "GPL-3.0", "general", "3"), ("lgpl2", "LGPL-2.0", "library general", "2"),
+    ("lgpl21", "LGPL-2.1", "lesser general", "2 1"), ("lgpl3", "LGPL-3.0", "lesser general", "3"), ("agpl3", "AGPL-3.0", "affero general", "3"),
+]
+# Licence, class, SPDX names.
+_SPDX = [
+    ("Apache-2.0", "permissive", ["apache 2 0"]),
+    ("BSD-2-Clause", "permissive", ["bsd 2 clause"]),
+    ("BSD-3-Clause", "permissive", ["bsd 3 clause"]),
+    ("CC-BY-4.0", "permissive", ["cc by 4 0"]),
+    ("CC-BY-NC-4.0", "restricted", ["cc by nc 4 0"]),
+    ("CC-BY-SA-4.0", "copyleft", ["cc by sa 4 0"]),
+    ("ISC", "permissive", ["isc"]),
+    ("MIT", "permissive", ["mit"]),
+    ("MPL-2.0", "copyleft", ["mpl 2 0", "mpl 2 0 no copyleft exception"]),
+    ("Unlicense", "permissive", ["unlicense"]),
+    *((x, "copyleft", [x.lower().replace("-", " ").replace(".", " ") + end for end in ("", " only", " or later")]) for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-1.0", "AGPL-3.0")),
+]
+_SPDX_NAMES = {sentence: name for name, sentence in SENTENCES.items() if "-spdx" in name}
+
+
+def _spdx(name: str) -> str:
+    return _SPDX_NAMES.get(f"spdx license identifier {name}", "spdx-" + name.replace(" ", "-"))
+
+
+#: Further known sentences, and forms of the above, as official notices have them; | is where a sign may end a fragment.
+NOTICES = {
+    "mpl2-ref": "this source code form is subject to the terms of the mozilla public license v | 2 0",
+    "lgpl-head": "this library is free software",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty",
+    **{f"{i}-terms": _TERMS.format(kind) + _LATER.format(v) for i, _, kind, v in _GNU},
+    **{f"{i}-terms-only": _TERMS.format(kind) + _ONLY.format(v) for i, _, kind, v in _GNU},
+    **{_spdx(name): f"spdx license identifier | {name}" for _, _, names in _SPDX for name in names},
+}
+KNOWN = SENTENCES | NOTICES
+ALL_RULES = [
+    *RULES,
+    *((licence, "copyleft", [f"{head}-head", i + terms, f"{head}-hope"]) for i, licence, _, _ in _GNU for terms in ("-terms", "-terms-only") for head in ("gpl", "lgpl")),
+    *((licence, kind, [_spdx(name)]) for licence, kind, names in _SPDX for name in names),
+]
 #: Every known sentence holds one of these; a text without them is not cut.
 ANCHORS = ["licen", "permission", "warrant", "redistribut", "free software", "free and unencumbered"]
 CUT = r"[.!?;:]+([\x20\x09-\x0D]|$)|[\x0A-\x0D]"
 #: What starts a line without belonging to its sentence, ends of sentences, and line ends; the latter two become X and N, which no lower-cased text holds.
 LEADER = r"(?<![^\x0A-\x0D])[^a-z0-9\x0A-\x0D]*(?:(?:rem|dnl)[\x20\x09]+|(?:[0-9]{1,3}|[a-z]|[ivx]{1,5})\)[^a-z0-9\x0A-\x0D]*)?"
-STOP = r"(?<![.!?;:])[.!?;:]++(?:[\x20\x09-\x0D]|\z)"
+STOP = r"(?<![.!?;:])[.!?;:]++(?=[\x20\x09-\x0D]|\z)"
 LINE_END = r"\x0D\x0A|[\x0A-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -119,7 +163,8 @@ def _words_of_anchor(text: Column) -> Column:
 
 def _pattern() -> str:
     """Any known sentence as a whole number of fragments, the shortest first."""
-    return "(?<![^XN])(?:" + "|".join(s.replace(" ", "[ N]") for s in sorted(SENTENCES.values(), key=len)) + ")(?![^XN])"
+    forms = (s.replace(" | ", "#").replace(" ", "[ N]").replace("#", "(?:XN?|[ N])") for s in sorted(KNOWN.values(), key=len))
+    return "(?<![^XN])(?:" + "|".join(forms) + ")(?![^XN])"
 
 
 def _marked(text: Column) -> Column:
@@ -131,17 +176,17 @@ def _marked(text: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_known (known sentences), identifiers (in order, by spaces), licences and classes (sorted, by commas; empty if none)."""
-    known = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
+    known = F.create_map(*[F.lit(x) for name, sentence in KNOWN.items() for x in (sentence.replace(" | ", " "), name)])
     text = docs[text_col].cast("string")
     found = F.regexp_extract_all(_marked(text), F.lit(_pattern()), F.lit(0))
-    names = F.transform(found, lambda s: F.element_at(known, F.translate(s, "N", " ")))
+    names = F.transform(found, lambda s: F.element_at(known, F.regexp_replace(s, "[XN]+", " ")))
     none = F.array().cast("array<string>")
     rows = docs.select(docs[id_col].alias("_id"), F.when(_words_of_anchor(text), F.array_compact(names)).otherwise(none).alias("_names"))
     rows = rows.select("_id", F.coalesce("_names", none).alias("_names"))
     line = F.concat(F.lit("<"), F.array_join("_names", "><"), F.lit(">"))
 
     def matched(pick: int) -> Column:
-        hits = [F.when(line.like("%" + "%".join(f"<{i}>" for i in ids) + "%"), F.lit((licence, kind)[pick])) for licence, kind, ids in RULES]
+        hits = [F.when(line.like("%" + "%".join(f"<{i}>" for i in ids) + "%"), F.lit((licence, kind)[pick])) for licence, kind, ids in ALL_RULES]
         return F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))), ",")
 
     return rows.select(F.col("_id").alias(id_col), F.size("_names").cast("long").alias("n_known"), F.array_join("_names", " ").alias("identifiers"), matched(0).alias("licences"), matched(1).alias("classes"))

@@ -232,6 +232,34 @@ def test_wrapped_notices_are_recognised(spark):
     assert got == [("bsd-grant bsd-source bsd-binary bsd-names", "BSD-2-Clause,BSD-3-Clause"), ("isc-grant", "ISC"), ("mit-ref", "MIT"), ("mit-title", ""), ("mit-title-short", ""), ("", ""), ("", ""), ("", "")]
 
 
+GNU = """This {what} is free software; you can redistribute it and/or
+modify it under the terms of the GNU {kind} Public
+License as published by the Free Software Foundation{version}
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+{kind} Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_official_notices_are_recognised(spark):
+    later, only = "{} either version {} of the License, or (at\nyour option) any later version.", "{} version {} of the License."
+    versions = [("GPL-2.0", "program", "General", "2"), ("GPL-3.0", "program", "General", "3"), ("LGPL-2.0", "library", "Library General", "2"), ("LGPL-2.1", "library", "Lesser General", "2.1"), ("LGPL-3.0", "program", "Lesser General", "3"), ("AGPL-3.0", "program", "Affero General", "3")]
+    cases = [(GNU.format(what=what, kind=kind, version=form.format(sign, v)), licence) for licence, what, kind, v in versions for form in (later, only) for sign in ";,"]
+    cases += [(MPL, "MPL-2.0"), (MPL.replace("License, v. 2.0", "License, v.\n2.0"), "MPL-2.0"), (MPL.replace("v. 2.0", "v. 1.1"), "")]
+    tags = "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC MPL-2.0 Unlicense CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 GPL-2.0 LGPL-2.1".split()
+    cases += [(f"// SPDX-License-Identifier:{space}{x}", x) for x in tags for space in ("", " ", "  ")] + [("/* SPDX-License-Identifier: GPL-2.0+ */", "GPL-2.0")]
+    cases += [(f"# SPDX-License-Identifier: {x}{end}\ncode", x) for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-1.0", "AGPL-3.0") for end in ("-only", "-or-later")]
+    cases += [("SPDX-License-Identifier:\n\nMIT", ""), ("SPDX-License-Identifier: MIT-0", "")]
+    one_line = [(re.sub(r"(?<!\n)\n(?!\n)", " ", t), x) for t, x in cases if not t.startswith(("#", "/", "S"))]
+    assert [got for _, got in licences_of(spark, [t for t, _ in cases + one_line])] == [x for _, x in cases + one_line]
+
+
 def test_url_lists_hold_at_fetch_time(spark):
     entries = spark.createDataFrame([("host", "a.b.example.com", "2024-01-10", True), ("host", "a.b.example.com", "2024-02-10", False), ("host", "a.b.example.com", "2024-02-10", False), ("host", "a.b.example.com", "2024-03-10", True), ("site", "b.example.com", "2024-06-01", True), ("prefix", "c.org/en", "2024-01-01", True), ("prefix", "c.org/en", "2024-01-01", False), (None, None, None, None)], "scope string, pattern string, at string, listed boolean").selectExpr("scope", "pattern", "cast(at as date) as at", "listed")
     cases = [("https://a.b.example.com/x", "2024-01-09", False), ("HTTPS://user@A.b.example.com:80/x", "2024-01-10", True), ("https://a.b.example.com/x", "2024-02-10", False), ("https://a.b.example.com/x", "2024-03-11", True), ("https://z.b.example.com", "2024-06-01", True), ("http://c.org/en/1", "2024-05-05", True), ("http://c.org/english", "2024-05-05", False), (None, "2024-05-05", False), ("not a url", "2024-05-05", False), ("http://c.org/en", None, False)]
