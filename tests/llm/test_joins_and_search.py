@@ -80,6 +80,27 @@ def test_groups_equal_brute_force(spark, monkeypatch, short, light, common):
     assert got == brute_groups(corpus())
 
 
+@pytest.mark.parametrize(("light", "common"), [(None, 12), (0, 2), (12, 12)])
+def test_all_links_equal_brute_force(spark, monkeypatch, light, common):
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    if light is not None:
+        monkeypatch.setattr(jaccard, "boundary", lambda sizes: light)
+    base = [f"v{i}" for i in range(200)]
+    texts = corpus() + [(10_000 + i, " ".join([*base[: 6 * i], "changed", *base[6 * i + 1 :]])) for i in range(30)]
+    first = {}
+    for d, t in texts:
+        first.setdefault(shingles(t), d)
+    want = set()
+    for a, x in first.items():
+        for b, y in first.items():
+            if x < y and 100 * len(a & b) >= 75 * len(a | b):
+                want.add((x, y, len(a & b), len(a | b)))
+    got = [tuple(r) for r in jaccard.all_links(spark.createDataFrame(texts, "doc_id long, text string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    _, part, _ = jaccard.links(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert part.join(spark.createDataFrame([r[:2] for r in got], "a long, b long"), ["a", "b"], "left_semi").count() < len(got) - 300
+
+
 def test_keep_one_keeps_the_smallest_of_each_group(spark):
     docs = spark.createDataFrame([*corpus(), (None, "a b c d e")], "doc_id long, text string").selectExpr("*", "'x' as node", "2 as component")
     kept = jaccard.keep_one(docs)
