@@ -4,12 +4,12 @@ Lines are exploded and normalised (ASCII white space stripped at both ends, A-Z
 enough code points are hashed to 128 bits, documents are counted per hash, and the lines of keys over the
 threshold go from every document but the largest id that holds the key; the rest is joined in its order.
 
-Two shuffles of 24-byte records (the count combines on the map side, so a key that a third of the rows
+Two shuffles of 24-byte records, and one of those of frequent keys, by key and id (the count combines on the map side, so a key that a third of the rows
 hold reaches one task as one record per map task; the join back to the holders is a plain sort-merge join
 that adaptive execution splits), and one of the documents by id, to give each its keys to drop.
 
-A document is a row: repeated rows count each, and all rows with the largest id keep the line. A row
-with a null id counts towards the threshold and keeps its lines. Null and empty texts hold one empty line.
+A document is an id: rows that repeat one count once, and all rows with the largest id keep the line. A row
+with a null id is a document of its own, counts towards the threshold and keeps its lines. Null and empty texts hold one empty line.
 Long keys are hashed whole. Other columns pass through, whatever their names.
 """
 
@@ -67,7 +67,11 @@ def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, mi
     keys = materialize(line_keys(docs, id_col, text_col, min_chars), f"{path}/keys")
     often = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("last")).where(F.col("n") >= min_documents).drop("n")
     often = materialize(often, f"{path}/often")  # apart from the join, whose hot keys can then be split, or which needs no shuffle at all
-    return keys.join(often, "key").where("doc < last").groupBy("doc").agg(F.collect_set("key").alias("drops"))
+    # rows are at least as many as documents: only the keys that enough rows hold are counted by document
+    held = materialize(keys.join(often, "key").groupBy("key", "doc", "last").agg(F.count("*").alias("c")), f"{path}/held")
+    documents = F.sum(F.when(F.col("doc").isNull(), F.col("c")).otherwise(1))
+    often = materialize(held.groupBy("key").agg(documents.alias("n")).where(F.col("n") >= min_documents).select("key"), f"{path}/documents")
+    return held.join(often, "key").where("doc < last").groupBy("doc").agg(F.collect_set("key").alias("drops"))
 
 
 def _kept(text: bytes, drops: list[bytes] | None, least: int) -> tuple[int, int, bytes]:

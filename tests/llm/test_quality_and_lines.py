@@ -108,3 +108,10 @@ def test_lines_of_rows_without_id_and_of_repeated_ids(spark):
     docs = spark.createDataFrame([(None, LONG)] * 3 + [(1, LONG), (2, LONG), (2, LONG)], "doc_id long, text string")
     got = sorted((r["doc_id"] or 0, r["n_dropped"]) for r in line_dedup.line_report(docs).collect())
     assert got == [(0, 0), (0, 0), (0, 0), (1, 1), (2, 0), (2, 0)]
+
+
+def test_documents_with_a_line_are_counted_by_id(spark):
+    other = LONG + " and more"
+    docs = spark.createDataFrame([(1, LONG)] + [(2, LONG)] * 4 + [(i, other) for i in range(10, 14)] + [(14, other)] * 2 + [(None, other + "!")] * 3 + [(20, other + "!")] * 3, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["n_dropped"]) for r in line_dedup.line_report(docs).collect())
+    assert got == sorted([(1, 0)] + [(2, 0)] * 4 + [(i, 1) for i in range(10, 14)] + [(14, 0)] * 2 + [(0, 0)] * 3 + [(20, 0)] * 3)
