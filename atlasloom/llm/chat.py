@@ -7,8 +7,9 @@ joins, with every round a written table, so no conversation is ever gathered in
 turns it has. Calls on a cycle, or that wait for one, have no depth. Arguments are checked against the
 tool's schema, and every exchange is serialised as canonical JSON (keys sorted, no spaces, UTF-8).
 
-Of repeated calls or results with one identifier the smallest by content counts, and `copies` tells how many
-there were. A call without a result, a result without a call, arguments that are no JSON object or break
+Identical calls with one identifier are one row, and so are identical results; `copies` and `answers` tell how many there
+were. Of differing calls or results with one identifier the smallest by content is linked, and each of the others
+is a row of its own, with status repeated_call or repeated_result and no depth. A call without a result, a result without a call, arguments that are no JSON object or break
 the schema, and cycles each have a status of their own; nothing is dropped but rows with a null conversation
 or identifier. An `after` that names no call, or the call itself as the one it waits for, is a first call
 or a cycle, respectively. Empty tables give empty tables. Texts of any length are kept whole, and other
@@ -75,14 +76,26 @@ def depths(calls: DataFrame, path: str) -> DataFrame:
     return state.select("conv", "call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row per call, and per result without a call: conv, call_id, depth, copies, status, errors, json."""
-    path = workspace(calls.sparkSession)
-    calls = calls.where("conv is not null and call_id is not null").groupBy("conv", "call_id").agg(F.min(F.struct("name", "arguments", "after")).alias("c"), F.count("*").alias("copies"))
-    calls = materialize(calls.select("conv", "call_id", "c.*", "copies"), f"{path}/calls")
-    results = results.where("conv is not null and call_id is not null").groupBy("conv", "call_id").agg(F.min("content").alias("content"), F.lit(True).alias("answered"))
+def _apart(rows: DataFrame, content: list[str], copies: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """(the row of smallest content of each conv and call_id, the other rows of different content), both with the number of identical rows."""
     keys = ["conv", "call_id"]
-    linked = calls.withColumn("called", F.lit(True)).join(results, keys, "full_outer").join(depths(calls, f"{path}/order"), keys, "left")
+    rows = materialize(rows.where("conv is not null and call_id is not null").groupBy(*keys, *content).agg(F.count("*").alias(copies)), f"{path}/all")
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*content, copies)).alias("_first"), F.count("*").alias("_n"))
+    first = materialize(first, f"{path}/first")
+    several = first.where("_n > 1").select(*keys, F.struct(*[F.col(f"_first.{c}").alias(c) for c in content]).alias("_linked"))
+    others = rows.join(several, keys).where(~F.struct(*content).eqNullSafe(F.col("_linked"))).drop("_linked")
+    return first.select(*keys, "_first.*"), others
+
+
+def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """One row per different call, and per different result that is not the linked one of a call: conv, call_id, depth, copies (of the call), status, errors, json, answers (copies of the result)."""
+    path, keys = workspace(calls.sparkSession), ["conv", "call_id"]
+    calls, more_calls = _apart(calls, ["name", "arguments", "after"], "copies", f"{path}/calls")
+    results, more_results = _apart(results, ["content"], "answers", f"{path}/results")
+    called, answered = F.lit(True).alias("called"), F.lit(True).alias("answered")
+    linked = calls.select("*", called).join(results.select("*", answered), keys, "full_outer").join(depths(calls, f"{path}/order"), keys, "left")
+    linked = linked.unionByName(more_calls.select("*", called, F.lit("repeated_call").alias("again")), allowMissingColumns=True)
+    linked = linked.unionByName(more_results.select("*", answered, F.lit("repeated_result").alias("again")), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,14 +108,14 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                         wrong = violations(value, schemas[r["name"]]) if r["name"] in schemas else ["unknown tool"]
                     except (ValueError, ZeroDivisionError, RecursionError):
                         value, wrong = r["arguments"], ["not JSON"]
-                status.append("orphan_result" if not r["called"] else "cycle" if r["depth"] is None else "invalid" if wrong else "ok" if r["answered"] else "no_result")
+                status.append(r["again"] if r["again"] else "orphan_result" if not r["called"] else "cycle" if r["depth"] is None else "invalid" if wrong else "ok" if r["answered"] else "no_result")
                 errors.append("; ".join(wrong))
                 call = {"arguments": value, "id": r["call_id"], "name": r["name"]} if r["called"] else None
                 text.append(canonical({"call": call, "order": r["depth"], "result": {"content": r["content"], "id": r["call_id"]} if r["answered"] else None}))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(status, pa.string()), pa.array(errors, pa.string()), pa.array(text, pa.string())], names=["conv", "call_id", "depth", "copies", "status", "errors", "json"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(status, pa.string()), pa.array(errors, pa.string()), pa.array(text, pa.string()), batch.column(4)], names=["conv", "call_id", "depth", "copies", "status", "errors", "json", "answers"])
 
-    slim = linked.select("conv", "call_id", "depth", F.coalesce("copies", F.lit(0)).cast("long").alias("copies"), "called", "name", "arguments", "answered", "content")
-    return slim.mapInArrow(run, f"conv {dict(calls.dtypes)['conv']}, call_id string, depth long, copies long, status string, errors string, json string")
+    slim = linked.select("conv", "call_id", "depth", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("copies", "answers")], "again", "called", "name", "arguments", "answered", "content")
+    return slim.mapInArrow(run, f"conv {dict(calls.dtypes)['conv']}, call_id string, depth long, copies long, status string, errors string, json string, answers long")
 
 
 #: The one tool of plain conversations: a turn is asked for a reply.

@@ -36,7 +36,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.link_calls(*chat.exchanges(table(spark, sf_dir, "conversations")), chat.REPLY)
+    return chat.link_calls(*chat.exchanges(table(spark, sf_dir, "conversations")), chat.REPLY).drop("answers")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -321,6 +321,21 @@ def test_calls_are_linked_ordered_and_validated(spark):
         assert chat.canonical(json.loads(r["json"])) == r["json"]
 
 
+def test_differing_repeats_keep_rows_of_their_own(spark):
+    calls = [(1, "p", "add", '{"a":1}', None), (1, "p", "add", '{"a":2}', None), (1, "p", "add", '{"a":2}', None), (1, "p", "add", None, None), (1, "q", "add", '{"a":1}', "p"), (2, "p", "add", '{"a":1}', None)]
+    results = [(1, "p", "one"), (1, "p", "two"), (1, "p", "two"), (1, "p", None), (1, "x", "lost"), (1, "x", "lost"), (1, "x", "missed"), (1, "q", "three"), (1, "q", "three")]
+    linked = chat.link_calls(spark.createDataFrame(calls, "conv long, call_id string, name string, arguments string, after string"), spark.createDataFrame(results, "conv long, call_id string, content string"), SCHEMA)
+    got = Counter()
+    for r in linked.collect():
+        j = json.loads(r["json"])
+        got[r["conv"], r["call_id"], r["depth"], r["status"], r["copies"], r["answers"], j["call"] and str(j["call"]["arguments"]), j["result"] and str(j["result"]["content"])] += 1
+    assert got == Counter([
+        (1, "p", 0, "invalid", 1, 1, "None", "None"), (1, "p", None, "repeated_call", 1, 0, "{'a': 1}", None), (1, "p", None, "repeated_call", 2, 0, "{'a': 2}", None),
+        (1, "p", None, "repeated_result", 0, 1, None, "one"), (1, "p", None, "repeated_result", 0, 2, None, "two"), (1, "q", 1, "ok", 1, 2, "{'a': 1}", "three"),
+        (1, "x", None, "orphan_result", 0, 2, None, "lost"), (1, "x", None, "repeated_result", 0, 1, None, "missed"), (2, "p", 0, "no_result", 1, 0, "{'a': 1}", None),
+    ])
+
+
 def test_depth_of_a_long_chain(spark):
     calls = spark.createDataFrame([(1, str(i), "add", '{"a":1}', str(i - 1) if i else None) for i in range(300)], "conv long, call_id string, name string, arguments string, after string")
     got = chat.link_calls(calls, spark.createDataFrame([], "conv long, call_id string, content string"), SCHEMA).collect()
