@@ -13,13 +13,16 @@ exactly; without such a proof it goes on to the last segment. Nothing is approxi
 Queries travel in blocks of QUERIES to every index block by an equi-join on the block's number, so neither
 side is broadcast, and each pair of blocks returns k rows per query; the best k of these are ranked.
 
-Vectors that are null, or hold null or non-finite components or components of 2**23 or more, take no part;
-empty ones neither. Vectors are compared with queries of their own length alone. A query's own row means
+Vectors that are null, or hold null or non-finite components, take no part; empty ones neither. Vectors with a
+component of 2**23 or more are kept as doubles in blocks of their own, and any pair of blocks whose sums could leave 64
+bits is scored in exact Python integers, row by row. A score among the k best that no long can hold ends the query with an error. Vectors are compared with queries of their own length alone. A query's own row means
 all rows with its id; ties go to the smaller id; repeated rows are candidates each; a null id takes no part.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +36,11 @@ from .common import materialize, workspace
 BLOCK, QUERIES, LEVELS, FEW = 1 << 14, 512, 8, 64
 
 
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+
+
 def _integers(ids: pa.Array, vectors: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, matrix of floor(256 x)) of the rows that take part, by length."""
+    """(ids, matrix of floor(256 x)) of the rows that take part, by length; rows with large components apart, as doubles x."""
     if not len(vectors):
         return
     offsets = vectors.offsets.to_numpy().astype(np.int64)
@@ -42,34 +48,57 @@ def _integers(ids: pa.Array, vectors: pa.ListArray) -> Iterator[tuple[np.ndarray
     flat = values.fill_null(np.nan).to_numpy(zero_copy_only=False)
     size = np.diff(offsets)
     good = np.asarray(vectors.is_valid()) & np.asarray(ids.is_valid()) & (size > 0)
-    bad = np.concatenate([[0], np.cumsum(~(np.abs(flat) < 1 << 23))])
+    bad = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
     good &= bad[offsets[1:]] == bad[offsets[:-1]]
+    large = np.concatenate([[0], np.cumsum(~(np.abs(flat) < 1 << 23))])
+    large = large[offsets[1:]] != large[offsets[:-1]]
     own = ids.fill_null(0).to_numpy().astype(np.int64)
     for d in np.unique(size[good]).tolist():
-        rows = np.flatnonzero(good & (size == d))
-        yield own[rows], np.floor(256 * flat[offsets[rows][:, None] + np.arange(d)]).astype(np.int64)
+        rows = np.flatnonzero(good & ~large & (size == d))
+        if len(rows):
+            yield own[rows], np.floor(256 * flat[offsets[rows][:, None] + np.arange(d)]).astype(np.int64)
+        rows = np.flatnonzero(good & large & (size == d))
+        if len(rows):
+            yield own[rows], flat[offsets[rows][:, None] + np.arange(d)]
+
+
+def _packed(cells: np.ndarray) -> bytes:
+    return cells.astype("<f8" if cells.dtype == np.float64 else "<i4").tobytes()
+
+
+def _exact(x: float) -> int:
+    """floor(256 x) of any finite double."""
+    return math.floor(256 * x) if abs(x) < 1 << 60 else 256 * int(x)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    """n cells: int64 of narrow ones, Python integers of wide ones."""
+    if len(raw) == 4 * n:
+        return np.frombuffer(raw, "<i4").astype(np.int64)
+    return np.array([_exact(x) for x in np.frombuffer(raw, "<f8").tolist()], object)
 
 
 def _blocks(vectors: DataFrame, path: str) -> DataFrame:
     """(block, dim, ids, cells, postings): cells and postings by dimension, the postings in ascending order of their cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        held: dict[tuple[int, bool], list] = {}
         part, k = TaskContext.get().partitionId(), 0
 
-        def flush(d: int) -> pa.RecordBatch:
+        def flush(kind: tuple[int, bool]) -> pa.RecordBatch:
             nonlocal k
-            ids, cells = (np.concatenate(x) for x in zip(*held.pop(d), strict=True))
-            postings = np.argsort(cells, axis=0, kind="stable").T.astype("<u2")
+            ids, cells = (np.concatenate(x) for x in zip(*held.pop(kind), strict=True))
+            d, wide = kind
+            postings = np.zeros(0, "<u2") if wide else np.argsort(cells, axis=0, kind="stable").T.astype("<u2")
             k += 1
             return pa.RecordBatch.from_arrays(
-                [pa.array([part << 32 | k], pa.int64()), pa.array([d], pa.int32()), pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([cells.T.astype("<i4").tobytes()], pa.binary()), pa.array([postings.tobytes()], pa.binary())],
+                [pa.array([part << 32 | k], pa.int64()), pa.array([d], pa.int32()), pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([_packed(cells.T)], pa.binary()), pa.array([postings.tobytes()], pa.binary())],
                 names=["block", "dim", "ids", "cells", "postings"],
             )
 
         for batch in batches:
             for ids, cells in _integers(batch.column(0), batch.column(1)):
-                d = cells.shape[1]
+                d = cells.shape[1], cells.dtype == np.float64
                 for low in range(0, len(ids), BLOCK // 4):
                     held.setdefault(d, []).append((ids[low : low + BLOCK // 4], cells[low : low + BLOCK // 4]))
                     if sum(len(x) for x, _ in held[d]) > BLOCK * 3 // 4:
@@ -88,7 +117,7 @@ def _query_blocks(queries: DataFrame, path: str) -> DataFrame:
             for ids, cells in _integers(batch.column(0), batch.column(1)):
                 for low in range(0, len(ids), QUERIES):
                     part = slice(low, low + QUERIES)
-                    yield pa.RecordBatch.from_arrays([pa.array([cells.shape[1]], pa.int32()), pa.array([ids[part].astype("<i8").tobytes()], pa.binary()), pa.array([cells[part].astype("<i4").tobytes()], pa.binary())], names=["dim", "qids", "qcells"])
+                    yield pa.RecordBatch.from_arrays([pa.array([cells.shape[1]], pa.int32()), pa.array([ids[part].astype("<i8").tobytes()], pa.binary()), pa.array([_packed(cells[part])], pa.binary())], names=["dim", "qids", "qcells"])
 
     return materialize(queries.mapInArrow(run, "dim int, qids binary, qcells binary"), path)
 
@@ -96,8 +125,11 @@ def _query_blocks(queries: DataFrame, path: str) -> DataFrame:
 class Block:
     def __init__(self, ids: bytes, cells: bytes, postings: bytes, dim: int):
         self.ids, n = np.frombuffer(ids, "<i8"), len(ids) // 8
-        self.cells = np.frombuffer(cells, "<i4").reshape(dim, n)
-        self.rows = np.ascontiguousarray(self.cells.T).astype(np.int64)
+        self.cells = _unpacked(cells, n * dim).reshape(dim, n)
+        self.rows = np.ascontiguousarray(self.cells.T)
+        self.most = int(np.abs(self.cells).max())
+        if self.cells.dtype == object:
+            return
         postings = np.frombuffer(postings, "<u2").reshape(dim, n).astype(np.int64)
         self.dim, self.low, self.high, self.at, self.values = [], [], [], [], []
         for d in range(dim):
@@ -115,6 +147,8 @@ class Block:
 
     def best(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(scores, ids) of the k best rows without own_id, ties to the smaller id."""
+        if query.dtype == object or self.cells.dtype == object or self.most * int(np.abs(query).max()) * len(query) >= 1 << 61:
+            return self._best_of_all(query, own_id, k)
         n, weight = len(self.ids), query[self.dim]
         ends = weight * self.low, weight * self.high
         least, most = np.minimum(*ends), np.maximum(*ends)
@@ -149,6 +183,14 @@ class Block:
         return exact[at], self.ids[rest][at]
 
 
+    def _best_of_all(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """best() in Python integers; scores that no long can hold become LOWEST or HIGHEST."""
+        q = [int(x) for x in query.tolist()]
+        scored = ((-sum(a * b for a, b in zip(row.tolist(), q, strict=True)), i) for row, i in zip(self.rows, self.ids.tolist(), strict=True) if i != own_id)
+        top = heapq.nsmallest(k, scored)
+        return np.array([min(max(-s, LOWEST), HIGHEST) for s, _ in top], np.int64), np.array([i for _, i in top], np.int64)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, <id_col>, score): for each query its k best rows of vectors, from rank 1."""
     path = workspace(vectors.sparkSession)
@@ -166,11 +208,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
                 if number != last:
                     last, block = number, Block(*(batch.column(c)[i].as_py() for c in ("ids", "cells", "postings")), dim)
                 ids = np.frombuffer(qids, "<i8")
-                found = [block.best(q, own, k) for q, own in zip(np.frombuffer(qcells, "<i4").reshape(-1, dim).astype(np.int64), ids.tolist(), strict=True)]
+                found = [block.best(q, own, k) for q, own in zip(_unpacked(qcells, len(ids) * dim).reshape(-1, dim), ids.tolist(), strict=True)]
                 counts = [len(s) for s, _ in found]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, counts)), pa.array(np.concatenate([x for _, x in found])), pa.array(np.concatenate([s for s, _ in found]))], names=["query_id", "_id", "score"])
 
     met = index.join(grid, "block").where("dim = _dim").select("block", "dim", "ids", "cells", "postings", "qids", "qcells")
     scored = met.mapInArrow(run, "query_id long, _id long, score long")
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "_id"))).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("_id").alias(id_col), "score")
+    fits = F.when(F.col("score").isin(LOWEST, HIGHEST), F.raise_error(F.lit("a score leaves 64 bits"))).otherwise(F.col("score"))
+    return ranked.select("query_id", "rank", F.col("_id").alias(id_col), fits.cast("long").alias("score"))

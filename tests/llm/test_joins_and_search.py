@@ -150,6 +150,26 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_vectors_with_large_components_take_part(spark):
+    rnd = random.Random(3)
+    vectors = [(i, [rnd.uniform(-1, 1) * 10 ** rnd.choice(powers) for powers in ([0, 4, 7, 7], [0, 4], [0, 4])]) for i in range(1, 160)] + [(200, [2.0**23, 0.0, -0.001]), (250, [1.0, float("inf"), 0.0]), (251, [8388607.9] * 3)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    cells = {i: [int(256 * x // 1) for x in v] for i, v in vectors if i != 250}
+    want = {}
+    for q in cells:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(cells[q], v, strict=True)), i) for i, v in cells.items() if i != q)[:5]
+            want[q] = [(-s, i) for s, i in best]
+    got = defaultdict(list)
+    for r in sorted(topk.top_k(frame, frame.where("vec_id % 50 = 0")).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append((r["score"], r["vec_id"]))
+    assert dict(got) == want and {i for x in want.values() for _, i in x if max(map(abs, cells[i])) >= 1 << 31}
+    wide = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [0.0, 1.0])], frame.schema)
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(wide, wide).collect()
+    assert [tuple(r) for r in topk.top_k(wide.where("vec_id <> 0"), wide.where("vec_id = 2")).collect()] == [(2, 1, 1, 0)]
+
+
 def test_known_sentences_are_normalised_and_anchored():
     for sentence in licenses.SENTENCES.values():
         assert sentence == re.sub("[^a-z0-9]+", " ", sentence).strip()
