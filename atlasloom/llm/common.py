@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,12 @@ from pyspark.sql import functions as F
 
 #: Text handed to numpy or a tokenizer at once, in bytes; only a longer single document exceeds it.
 SLICE_BYTES = 1 << 20
+#: Rows go to Python workers in batches of at most so many bytes; only a longer single document exceeds it.
+BATCH_BYTES, _BATCH_CONF, _BATCH_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+#: Tables of at most so many rows are broadcast, once counted.
+MOST_BROADCAST = 1 << 20
+#: A key is hot if it holds more than LEAST_HOT rows and more than 1 of HOT_KEYS of all rows: there are fewer than HOT_KEYS such keys.
+LEAST_HOT, HOT_KEYS = 1000, 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +44,61 @@ def workspace(spark: SparkSession) -> str:
     return path
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """df itself; its session from now on hands rows to Python workers in batches of BATCH_BYTES, unless it names another size."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_CONF, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        conf.set(_BATCH_CONF, f"{BATCH_BYTES}b")
+    return df
+
+
+_held: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, release: Callable[[], None] | None = None) -> None:
+    """In a worker, which later stages use again: frees what other operators have cached there; `release` frees the owner's own cache."""
+    others = [name for name in _held if name != owner]
+    for name in others:
+        _held.pop(name)()
+    if release is not None:
+        _held[owner] = release
+    if others:
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Writes df as Parquet and reads it back: lineage ends there, and lost executors take nothing with them."""
-    df.write.option("compression", "zstd").parquet(path)
+    """Writes df as Parquet and reads it back: lineage ends there, and lost executors take nothing with them. Small row groups bound what a task holds."""
+    df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).option("parquet.page.size", 256 << 10).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def beside(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """rows joined with a written table of one row a key: broadcast if it is counted to be small, else by a shuffle."""
+    return rows.join(F.broadcast(small) if small.count() <= MOST_BROADCAST else small, key)
+
+
+def attach(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with `keyed`, which has one row a key with the number `count` of rows that hold it, among `total` rows.
+
+    Hot keys are fewer than HOT_KEYS, whatever the data: they are broadcast, and their rows stay where they are. In the
+    shuffle of the other rows no key has more than LEAST_HOT rows or 1 of HOT_KEYS of all. how: inner, or left_semi.
+    """
+    most = max(LEAST_HOT, total // HOT_KEYS)
+    hot = keyed.where(F.col(count) > most).drop(count)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed.where(F.col(count) <= most).drop(count), key, how)
+    return rows.join(F.broadcast(hot), key, how).unionByName(rest)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a table of the workspace that nothing reads any more."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -75,9 +131,10 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 def within(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Sum of values[low:high] for each pair of bounds."""
-    total = np.zeros(len(values) + 1, np.int64)
-    np.cumsum(values, out=total[1:])
-    return total[high] - total[low]
+    flags = values.dtype == bool and len(values) < 1 << 31
+    total = np.zeros(len(values) + 1, np.int32 if flags else np.int64)
+    np.cumsum(values, out=total[1:], dtype=total.dtype)
+    return (total[high] - total[low]).astype(np.int64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

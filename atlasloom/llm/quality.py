@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import cast_id, mixed, slices, text_buffers, within
+from .common import bounded, cast_id, claim, mixed, slices, text_buffers, within
 from .words import Texts, repeated
 
 _SYMBOL = np.zeros(256, bool)
@@ -106,13 +106,14 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rules = rules or Rules()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality")
         for batch in batches:
             if batch.num_rows:
                 found = measured(batch.column(1), rules)
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[c]) for c in COLUMNS)], names=[id_col, *COLUMNS])
 
     kinds = ", ".join(f"{c} {'boolean' if c in ('base_failed', 'kept') else 'long'}" for c in COLUMNS)
-    return docs.select(cast_id(docs, id_col), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"`{id_col}` long, {kinds}")
+    return bounded(docs).select(cast_id(docs, id_col), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"`{id_col}` long, {kinds}")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules | None = None) -> DataFrame:
@@ -120,8 +121,9 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules | None = Non
     rules, at = rules or Rules(), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality")
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(measured(batch.column(at), rules)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)

@@ -20,6 +20,8 @@ _STEP = 0x9E3779B97F4A7C15 | 1
 _BACK = pow(_STEP, -1, 1 << 64)
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _powers: dict[int, np.ndarray] = {}
+#: Bytes whose positions are hashed at once; what a worker keeps is bounded by it, whatever the length of a text.
+BLOCK = 1 << 20
 
 
 def _positions(step: int, n: int) -> np.ndarray:
@@ -50,14 +52,29 @@ class Texts:
         self.offsets = offsets
         self.rows = len(offsets) - 1
         self.space = _SPACE[self.raw]
-        n = len(raw)
-        self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.raw] * _positions(_STEP, n + 1)[:n], out=self._sums[1:])
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Equal bytes give equal values wherever they stand, in any slice: the sums are moved back to position 0."""
-        back = _positions(_BACK, len(self.raw) + 1)[start]
-        return mixed((self._sums[end] - self._sums[start]) * back + (end - start).astype(np.uint64))
+        """Of ascending ranges. Equal bytes give equal values wherever they stand, in any slice: the sums are moved back to position 0."""
+        out, n = np.zeros(len(start), np.uint64), len(self.raw)
+        for low in range(0, n + 1, BLOCK):
+            a, b = np.searchsorted(start, [low, low + BLOCK])
+            if a == b:
+                continue
+            high = min(n, low + BLOCK)
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum(_BYTE[self.raw[low:high]] * _positions(_STEP, min(n, BLOCK) + 1)[: high - low], out=sums[1:])
+            first, last = start[a:b] - low, np.minimum(end[a:b], high) - low
+            out[a:b] = (sums[last] - sums[first]) * _positions(_BACK, min(n, BLOCK) + 1)[first]
+            for i in np.flatnonzero(end[a:b] > high).tolist():  # ranges that go on in later blocks: one at most, as ranges do not overlap
+                out[a + i] = self._rest(int(start[a + i]), int(end[a + i]), high, int(out[a + i]))
+        return mixed(out + (end - start).astype(np.uint64))
+
+    def _rest(self, start: int, end: int, at: int, total: int) -> int:
+        """The sum of a range of which `total` is the part before `at`."""
+        for low in range(at, end, BLOCK):
+            part = self.raw[low : min(end, low + BLOCK)]
+            total += int((_BYTE[part] * _positions(_STEP, BLOCK + 1)[: len(part)]).sum()) * pow(_STEP, low - start, 1 << 64)
+        return total % (1 << 64)
 
     def words(self) -> Spans:
         n = len(self.raw)
