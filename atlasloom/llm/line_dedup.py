@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, workspace
+from .common import bounded, claim, free_name, materialize, workspace
 
 MIN_CHARS, MIN_DOCUMENTS = 40, 5
 _BLANK = b" \t\n\v\f\r"
@@ -49,6 +49,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFr
     """(key, doc): the distinct keys of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lines")
         for batch in batches:
             ids, keys, held = batch.column(0), [], []
             for i, text in enumerate(_bytes(batch.column(1))):
@@ -58,7 +59,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), ids.take(pa.array(held, pa.int64()))], names=["key", "doc"])
 
     kind = docs.schema[id_col].dataType
-    return docs.select(docs[id_col], docs[text_col].cast("string")).mapInArrow(run, T.StructType().add("key", "binary").add("doc", kind))
+    return bounded(docs).select(docs[id_col], docs[text_col].cast("string")).mapInArrow(run, T.StructType().add("key", "binary").add("doc", kind))
 
 
 def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_documents: int) -> DataFrame:
@@ -84,9 +85,10 @@ def _kept(text: bytes, drops: list[bytes] | None, least: int) -> tuple[int, int,
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_documents: int) -> DataFrame:
-    """docs with the column `_drops`; `docs` keeps its own column order."""
-    drops = dropped_keys(docs, id_col, text_col, min_chars, min_documents).select(F.col("doc").alias("_doc"), F.col("drops").alias("_drops"))
-    return docs.join(drops, docs[id_col] == drops["_doc"], "left").drop("_doc")
+    """docs with a last column of the keys to drop; `docs` keeps its own columns in their order."""
+    doc, drops = free_name(docs, "_doc"), free_name(docs, "_drops")
+    own = dropped_keys(docs, id_col, text_col, min_chars, min_documents).select(F.col("doc").alias(doc), F.col("drops").alias(drops))
+    return docs.join(own, docs[id_col] == own[doc], "left").drop(doc)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
@@ -95,6 +97,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lines")
         for batch in batches:
             columns, drops = list(batch.columns[:-1]), batch.columns[-1].to_pylist()
             if any(drops):
@@ -113,6 +116,7 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per document: id, n_lines, n_dropped, kept_sha256 (of the kept text in UTF-8)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lines")
         for batch in batches:
             got = [_kept(t, d, min_chars) for t, d in zip(_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
