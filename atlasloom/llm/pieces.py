@@ -2,7 +2,9 @@
 
 Words are encoded by a batched Viterbi in numpy: words of equal length advance together, a code point at a
 time; the 64-bit hash of every substring up to the longest piece probes the sorted keys of the pieces, and
-the best score of each position with the length of its last piece (the longest on ties) is kept. Scores
+the best score of each position with the length of its last piece (the longest on ties) is kept. Words of a length
+that few share (among them long ones, such as encoded data without spaces) probe together, all positions of SPAN code points at a
+time, and their matches alone then advance one by one: linear in the length, with the same sums in the same order. Scores
 are summed in double precision, word by word, so long texts lose nothing.
 
 The text is the library's: spaces become U+2581, one is put before a text that is not empty, nothing else
@@ -20,6 +22,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import filterfalse
 
@@ -27,11 +30,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import mixed
+from .common import bounded, claim, mixed
 from .packing import texts_of
 
 SPACE = "▁"
 CACHED = 1_000_000
+#: Words of one length that advance together in numpy at least, and code points that other words probe with at once.
+TOGETHER, SPAN = 192, 1 << 15
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile("▁+[^▁\n]*|\n[^▁\n]*|[^▁\n]+")
 _models: dict[str, Model] = {}
@@ -126,6 +131,49 @@ class Model:
             out[i] = row[row >= 0].astype(np.uint32)
         return out
 
+    def each(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of words of any lengths whose code points are all pieces: probed together, then advanced match by match."""
+        size = [len(w) for w in words]
+        start = np.cumsum([0, *(n + 1 for n in size)])  # a place between two words, so that the end of one is not the start of the next
+        total = int(start[-1])
+        best, back, piece = array("d", [-np.inf]) * total, array("B", [0]) * total, array("I", [0]) * total
+        for at in start[:-1].tolist():
+            best[at] = 0.0
+        points = np.zeros(total + self.longest, np.uint64)
+        points[:total] = np.frombuffer(("\0".join(words) + "\0").encode("utf-32-le"), "<u4")
+        left = np.repeat(start[:-1] + size, np.array(size) + 1) - np.arange(total)  # code points from a place to its word's end
+        for low in range(0, total, SPAN):
+            rest, found = left[low : low + SPAN], []
+            for length in range(1, self.longest + 1):
+                at = np.flatnonzero(rest >= length)
+                if not len(at):
+                    break
+                key = np.full(len(at), np.uint64(length))
+                for k in range(length):
+                    key = key * _STEP + points[low + at + k] + np.uint64(1)
+                key = mixed(key)
+                hit = np.searchsorted(self.keys, key)
+                hit[hit == len(self.keys)] = 0
+                good = self.keys[hit] == key
+                found.append((low + at[good], np.full(int(good.sum()), length), self.scores[hit[good]], self.ids[hit[good]]))
+            if not found:
+                continue
+            place, length, score, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(place, kind="stable")
+            for p, n, s, i in zip(place[order].tolist(), length[order].tolist(), score[order].tolist(), ids[order].tolist(), strict=True):
+                s += best[p]
+                if s > best[p + n]:  # of equal sums the longest piece, which comes first
+                    best[p + n], back[p + n], piece[p + n] = s, n, i
+        out = []
+        for first, n in zip(start[:-1].tolist(), size, strict=True):
+            own, at = array("I"), first + n
+            while at > first:
+                own.append(piece[at])
+                at -= back[at]
+            own.reverse()
+            out.append(np.frombuffer(own, np.uint32) if own else np.zeros(0, np.uint32))
+        return out
+
     def _learn(self, words: list[str]) -> None:
         plan: list[tuple[str, list]] = []
         by_size: dict[int, set[str]] = {}
@@ -146,10 +194,19 @@ class Model:
                 if isinstance(p, str):
                     by_size.setdefault(len(p), set()).add(p)
         found: dict[str, np.ndarray] = {}
+        few: list[str] = []
         for size, group in by_size.items():
             group, step = list(group), max(1, (1 << 17) // size)
+            if len(group) < TOGETHER or step < TOGETHER:
+                few += group
+                continue
             for low in range(0, len(group), step):
                 found.update(zip(group[low : low + step], self.viterbi(group[low : low + step]), strict=True))
+        ends = np.cumsum([len(w) for w in few])
+        while few:  # some SPAN code points at a time, or one longer word
+            k = max(1, int(np.searchsorted(ends, (ends[0] - len(few[0])) + SPAN, side="right")))
+            found.update(zip(few[:k], self.each(few[:k]), strict=True))
+            few, ends = few[k:], ends[k:]
         for word, parts in plan:
             self.cache[word] = b"".join(found[p].tobytes() if isinstance(p, str) else self.byte[list(p)].tobytes() for p in parts)
 
@@ -180,6 +237,7 @@ class Model:
 
 
 def model(path: str) -> Model:
+    claim("pieces", _models.clear)
     if path not in _models:
         _models[path] = Model(path)
     return _models[path]
@@ -194,7 +252,7 @@ def _mapped(rows: DataFrame, path: str, id_col: str, columns: str, make) -> Data
             for low, values in texts_of(batch.column(1)) if pa.types.is_string(batch.column(1).type) else [(0, batch.column(1).to_pylist())]:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(values)), *make(own, values)], names=names)
 
-    return rows.mapInArrow(run, f"`{id_col}` {rows.dtypes[0][1]}, {columns}")
+    return bounded(rows).mapInArrow(run, f"`{id_col}` {rows.dtypes[0][1]}, {columns}")
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
