@@ -5,12 +5,13 @@ conversation and identifier. `after` names the call that a call waits for; calls
 by their depth below the first call, found by pointer doubling: the logarithm of the longest chain in
 joins, with every round a written table, so no conversation is ever gathered in one task, however many
 turns it has. Calls on a cycle, or that wait for one, have no depth. Arguments are checked against the
-tool's schema, and every exchange is serialised as canonical JSON (keys sorted, no spaces, UTF-8).
+tool's schema, and every exchange is serialised as canonical JSON (keys sorted, no spaces, UTF-8, whole numbers
+below 2**53 without a fraction or an exponent, so that 1, 1.0 and 1e0 are one number).
 
 Identical calls with one identifier are one row, and so are identical results; `copies` and `answers` tell how many there
 were. Of differing calls or results with one identifier the smallest by content is linked, and each of the others
 is a row of its own, with status repeated_call or repeated_result and no depth. A call without a result, a result without a call, arguments that are no JSON object or break
-the schema, and cycles each have a status of their own; nothing is dropped but rows with a null conversation
+the schema (numbers beyond a double, NaN, infinities and lone surrogates are not JSON; such arguments stand as text), and cycles each have a status of their own; nothing is dropped but rows with a null conversation
 or identifier. An `after` that names no call, or the call itself as the one it waits for, is a first call
 or a cycle, respectively. Empty tables give empty tables. Texts of any length are kept whole, and other
 columns are not read.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, workspace
+from .common import bounded, claim, discard, materialize, workspace
 
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict, "null": type(None)}
 
@@ -57,6 +58,24 @@ def violations(value: object, schema: dict) -> list[str]:
     return found
 
 
+def _number(text: str) -> int | float:
+    value = float(text)
+    if value - value != 0:
+        raise ValueError(f"no double: {text}")
+    return int(value) if value == int(value) and abs(value) < 1 << 53 else value
+
+
+def _refused(text: str) -> None:
+    raise ValueError(f"no JSON: {text}")
+
+
+def parsed(text: str) -> object:
+    """The value of a JSON text that can be serialised again, or a ValueError (RecursionError if nested too deep)."""
+    value = json.loads(text, parse_float=_number, parse_constant=_refused)
+    canonical(value).encode()
+    return value
+
+
 def canonical(value: object) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
 
@@ -98,15 +117,16 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     linked = linked.unionByName(more_results.select("*", answered, F.lit("repeated_result").alias("again")), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("chat")
         for batch in batches:
             status, errors, text = [], [], []
             for r in batch.to_pylist():
                 value, wrong = None, []
                 if r["called"]:
                     try:
-                        value = json.loads(r["arguments"] or "null", parse_constant=lambda _: 1 / 0)
+                        value = parsed(r["arguments"] or "null")
                         wrong = violations(value, schemas[r["name"]]) if r["name"] in schemas else ["unknown tool"]
-                    except (ValueError, ZeroDivisionError, RecursionError):
+                    except (ValueError, RecursionError):
                         value, wrong = r["arguments"], ["not JSON"]
                 status.append(r["again"] if r["again"] else "orphan_result" if not r["called"] else "cycle" if r["depth"] is None else "invalid" if wrong else "ok" if r["answered"] else "no_result")
                 errors.append("; ".join(wrong))
@@ -114,7 +134,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                 text.append(canonical({"call": call, "order": r["depth"], "result": {"content": r["content"], "id": r["call_id"]} if r["answered"] else None}))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(status, pa.string()), pa.array(errors, pa.string()), pa.array(text, pa.string()), batch.column(4)], names=["conv", "call_id", "depth", "copies", "status", "errors", "json", "answers"])
 
-    slim = linked.select("conv", "call_id", "depth", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("copies", "answers")], "again", "called", "name", "arguments", "answered", "content")
+    slim = bounded(linked).select("conv", "call_id", "depth", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("copies", "answers")], "again", "called", "name", "arguments", "answered", "content")
     return slim.mapInArrow(run, f"conv {dict(calls.dtypes)['conv']}, call_id string, depth long, copies long, status string, errors string, json string, answers long")
 
 

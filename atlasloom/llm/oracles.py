@@ -45,11 +45,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 TOP_K = r"""
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+WITH v AS (SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(list_zip(q.e, v.e), lambda p: p[1] * p[2]))::BIGINT AS score
-      FROM v q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id AND len(q.e) = len(v.e))
+s AS (SELECT q.vec_id AS query_id, v.vec_id, max(coalesce(list_sum(list_transform(list_zip(q.e, v.e), lambda p: p[1] * p[2])), 0))::BIGINT AS score
+      FROM v q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id AND len(q.e) = len(v.e) GROUP BY q.vec_id, v.vec_id, v.row)
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
@@ -97,7 +97,7 @@ FROM c LEFT JOIN a USING (page_id)
 """
 
 CHAT = r"""
-WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(role, '') AS role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(role, '') AS role, text, count(*) AS n FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
 a AS (SELECT *, CASE WHEN EXISTS (SELECT 1 FROM t x WHERE x.conv_id = t.conv_id AND x.turn = t.turn - 2 AND x.role <> 'assistant') THEN turn - 2
                      WHEN EXISTS (SELECT 1 FROM t x WHERE x.conv_id = t.conv_id AND x.turn = t.turn - 1 AND x.role <> 'assistant') THEN turn - 1 END AS up
       FROM t WHERE role <> 'assistant'),
@@ -105,15 +105,15 @@ d AS (SELECT conv_id, turn, 0 AS depth FROM a WHERE up IS NULL
       UNION ALL SELECT a.conv_id, a.turn, d.depth + 1 FROM d JOIN a ON a.conv_id = d.conv_id AND a.up = d.turn),
 r AS (SELECT conv_id, turn - 1 AS turn, text FROM t WHERE role = 'assistant'),
 j AS (SELECT coalesce(a.conv_id, r.conv_id) AS conv, coalesce(a.turn, r.turn) AS turn, a.turn IS NOT NULL AS called, r.turn IS NOT NULL AS answered,
-             d.depth, a.role, a.text, r.text AS content,
-             list_aggregate(list_filter([CASE WHEN role NOT IN ('user', 'system') THEN 'role: not in enum' END,
+             d.depth, a.role, a.text, r.text AS content, coalesce(a.n, 0) AS copies,
+             list_aggregate(list_filter([CASE WHEN a.turn IS NOT NULL AND a.text IS NULL THEN 'text: missing' END, CASE WHEN role NOT IN ('user', 'system') THEN 'role: not in enum' END,
                CASE WHEN a.text IS NOT NULL AND length(a.text) NOT BETWEEN 1 AND 2000 THEN 'text: length' END,
                CASE WHEN a.turn < 0 THEN 'turn: range' END], lambda x: x IS NOT NULL), 'string_agg', '; ') AS errors
       FROM a LEFT JOIN d USING (conv_id, turn) FULL JOIN r ON r.conv_id = a.conv_id AND r.turn = a.turn)
-SELECT conv, turn::VARCHAR AS call_id, depth::BIGINT AS depth, called::BIGINT AS copies,
+SELECT conv, turn::VARCHAR AS call_id, depth::BIGINT AS depth, copies::BIGINT AS copies,
        CASE WHEN NOT called THEN 'orphan_result' WHEN errors <> '' THEN 'invalid' WHEN answered THEN 'ok' ELSE 'no_result' END AS status,
        CASE WHEN called THEN coalesce(errors, '') ELSE '' END AS errors,
-       '{"call":' || CASE WHEN called THEN '{"arguments":{"role":' || to_json(role) || ',"text":' || to_json(text) || ',"turn":' || turn || '},"id":"' || turn || '","name":"reply"}' ELSE 'null' END
+       '{"call":' || CASE WHEN called THEN '{"arguments":{"role":' || to_json(role) || CASE WHEN text IS NULL THEN '' ELSE ',"text":' || to_json(text) END || ',"turn":' || turn || '},"id":"' || turn || '","name":"reply"}' ELSE 'null' END
        || ',"order":' || coalesce(depth::VARCHAR, 'null') || ',"result":'
        || CASE WHEN answered THEN '{"content":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"id":"' || turn || '"}' ELSE 'null' END || '}' AS json
 FROM j
