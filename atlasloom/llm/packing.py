@@ -4,8 +4,8 @@ First pass: tokens are written once to the workspace with, for each document, th
 in and the tokens before it there; the partitions' totals (one number each) are prefix-summed into global
 offsets. Second pass: every document knows its place in the one concatenated stream, which is cut into
 windows of `length`; where windows end, pieces end, and a sequence that documents of two partitions
-share has a piece from each (`boundary`). No token is shuffled; nothing but one offset per partition is
-broadcast; sequences are gapless, and only the last can be short, so at most length - 1 places are
+share has a piece from each (`boundary`). No token is shuffled while the partitions' offsets, one row a partition, are
+counted to be few enough for a broadcast (a million); sequences are gapless, and only the last can be short, so at most length - 1 places are
 padding whatever the corpus.
 
 Null and empty texts hold the end id alone. Repeated rows are documents of their own, a null id stays
@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, text_buffers, workspace
+from .common import beside, bounded, claim, materialize, slices, text_buffers, workspace
 from .tokens import encoder
 
 LENGTH, END_ID = 2048, 1
@@ -53,12 +53,12 @@ def tokenized(docs: DataFrame, tokenizer: str, style: str, end_id: int, id_col:
                     names=["doc", "ids", "n", "part", "before"],
                 )
 
-    slim = docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].cast("string").alias("text"))
+    slim = bounded(docs).select(docs[id_col].cast("long").alias("doc"), docs[text_col].cast("string").alias("text"))
     return materialize(slim.mapInArrow(run, "doc long, ids binary, n long, part int, before long"), path)
 
 
 def partition_offsets(tokens: DataFrame) -> DataFrame:
-    """(part, base, held): tokens in all earlier partitions and in this. One row per partition of the scan, which bounds what is broadcast."""
+    """(part, base, held): tokens in all earlier partitions and in this, one row per partition of the scan."""
     totals = tokens.groupBy("part").agg(F.sum("n").alias("held"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select("part", "held", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
@@ -66,11 +66,12 @@ def partition_offsets(tokens: DataFrame) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, style: str = "byte", length: int = LENGTH, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, boundary and (with_ids) the ids."""
-    path = f"{workspace(docs.sparkSession)}/tokens"
-    tokens = tokenized(docs, tokenizer, style, end_id, id_col, text_col, path)
-    placed = tokens.join(F.broadcast(partition_offsets(tokens)), "part")
+    path = workspace(docs.sparkSession)
+    tokens = tokenized(docs, tokenizer, style, end_id, id_col, text_col, f"{path}/tokens")
+    placed = beside(tokens, materialize(partition_offsets(tokens), f"{path}/offsets"), "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("packing")
         for batch in batches:
             n = batch.column("n").to_numpy()
             base = batch.column("base").to_numpy()

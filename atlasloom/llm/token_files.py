@@ -10,8 +10,8 @@ A file set is a folder of two Parquet tables, so any store that Spark reads can
 
 Tokenizing runs once, into a table of the workspace that also holds each task's histogram; the counts are
 summed in the cluster and only one row per used id, at most the vocabulary, reaches the driver. Documents
-are dealt by ranges of their id and sorted within, so ascending parts hold ascending documents. A third of
-all rows with one id stays one range; ties are ordered by their ids' bytes.
+are dealt by ranges of their id and of the place where they were read, and sorted within, so ascending parts hold
+ascending documents, and rows that share an id, however many, spread over ranges in the order they were read in.
 
 Null and empty texts hold the end id alone; null ids come first; repeated rows stay; an empty table gives
 empty files. Other columns are not read.
@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, workspace
+from .common import beside, bounded, claim, materialize, workspace
 from .packing import END_ID, texts_of
 from .tokens import encoder
 
 LIMIT, STRIDE, BLOCK = 18, 512, 1 << 16
-_TOKENS = "doc long, packed binary, width int, hist array<struct<id:int,n:long>>"
+_TOKENS = "doc long, part int, row long, packed binary, width int, hist array<struct<id:int,n:long>>"
 _BLOCKS = "part int, block int, first long, docs array<long>, counts array<long>, payload binary, checkpoints array<long>, crc long"
 
 
@@ -121,19 +121,22 @@ class Table:
 def _tokens(docs: DataFrame, tokenizer: str, style: str, end_id: int, id_col: str, text_col: str, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, pack = encoder(tokenizer, style), zstandard.ZstdCompressor(1).compress
+        part, rows = TaskContext.get().partitionId(), 0
         end, seen = np.array([end_id], enc.dtype).tobytes(), np.zeros(max(enc.tokenizer.get_vocab_size(), end_id + 1), np.int64)
         kind = pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())]))
-        names = ["doc", "packed", "width", "hist"]
+        names = ["doc", "part", "row", "packed", "width", "hist"]
         for batch in batches:
             for low, texts in texts_of(batch.column(1)):
                 ids = [x + end for x in enc.encode(texts)]
                 seen += np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=len(seen))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(texts)), pa.array([pack(x) for x in ids], pa.binary()), pa.array([enc.dtype.itemsize] * len(texts), pa.int32()), pa.nulls(len(texts), kind)], names=names)
+                k = len(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, k), pa.array(np.full(k, part, np.int32)), pa.array(np.arange(rows, rows + k)), pa.array([pack(x) for x in ids], pa.binary()), pa.array([enc.dtype.itemsize] * k, pa.int32()), pa.nulls(k, kind)], names=names)
+                rows += k
         used = np.flatnonzero(seen)
         hist = pa.array([[{"id": i, "n": n} for i, n in zip(used.tolist(), seen[used].tolist(), strict=True)]], kind)
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()), hist], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()), hist], names=names)
 
-    slim = docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].cast("string").alias("text"))
+    slim = bounded(docs).select(docs[id_col].cast("long").alias("doc"), docs[text_col].cast("string").alias("text"))
     return materialize(slim.mapInArrow(run, _TOKENS), path)
 
 
@@ -150,6 +153,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, style: str = "word
     spark.createDataFrame([(i, int(lengths[i])) for i in np.flatnonzero(lengths).tolist()], "id int, length int").coalesce(1).write.parquet(f"{folder}/codebook")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("files")
         part, unpack = TaskContext.get().partitionId(), zstandard.ZstdDecompressor().decompress
         block = first = held = 0
         docs: list = []
@@ -172,8 +176,8 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, style: str = "word
         if docs:
             yield flush()
 
-    ordered = tokens.where("hist is null").select("doc", "packed", "width").repartitionByRange("doc").sortWithinPartitions("doc", "packed")
-    ordered.mapInArrow(run, _BLOCKS).write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
+    ordered = tokens.where("hist is null").drop("hist").repartitionByRange("doc", "part", "row").sortWithinPartitions("doc", "part", "row")
+    ordered.select("doc", "packed", "width").mapInArrow(run, _BLOCKS).write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 
 
 def read_files(spark: SparkSession, folder: str, with_ids: bool = False, id_col: str = "doc_id") -> DataFrame:
@@ -185,9 +189,10 @@ def read_files(spark: SparkSession, folder: str, with_ids: bool = False, id_col:
     blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks")
     totals = blocks.groupBy("part").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("held"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))  # one row per file part
+    bases = materialize(totals.select("part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base")), f"{workspace(spark)}/bases")  # one row per file part
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("files")
         decode = Table(lengths).decode
         for batch in batches:
             for row in batch.to_pylist():
@@ -200,4 +205,4 @@ def read_files(spark: SparkSession, folder: str, with_ids: bool = False, id_col:
                 columns = [pa.array(row["docs"], pa.int64()), pa.array(row["base"] + row["first"] + end - counts), pa.array(counts), pa.array([zlib.crc32(x) for x in raw], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(raw, pa.binary())] * with_ids, names=[id_col, "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])
 
-    return blocks.join(F.broadcast(bases), "part").mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    return bounded(beside(blocks, bases, "part")).mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)

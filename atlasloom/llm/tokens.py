@@ -18,6 +18,8 @@ from itertools import filterfalse
 
 import numpy as np
 
+from .common import claim
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Cached pieces per worker: beyond it a new cache begins, into which pieces of the old one move when they
 #: are met again. A bound on memory alone: the ids do not depend on it.
@@ -112,7 +114,8 @@ class Encoder:
 
 
 def encoder(path: str, style: str) -> Encoder:
-    """One encoder per worker and file; workers are reused across tasks."""
+    """One encoder per worker and file; workers are reused across tasks, and another operator's first task there frees it."""
+    claim("tokens", _encoders.clear)
     if (path, style) not in _encoders:
         _encoders[path, style] = Encoder(path, style)
     return _encoders[path, style]
