@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from atlasloom.llm import line_dedup, quality
+from atlasloom.llm import line_dedup, quality, shingles, words
 
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 LONG = "this line is repeated in very many documents of all"
@@ -61,6 +61,30 @@ def test_quality_across_slices(spark, monkeypatch):
         assert (whole[c] == np.concatenate([p[c] for p in parts])).all()
 
 
+def test_long_texts_are_hashed_in_blocks(monkeypatch):
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choices("ab \n", k=rnd.randint(0, 300))) for _ in range(50)] + ["x" * 1000, "a " * 700, ""]
+    want = [list(shingles.shingle_sets(pa.array(texts))), quality.measured(pa.array(texts), quality.Rules())]
+    for block in (1, 7, 64, 1000):
+        monkeypatch.setattr(words, "BLOCK", block)
+        got = list(shingles.shingle_sets(pa.array(texts)))
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(want[0], got, strict=True))
+        found = quality.measured(pa.array(texts), quality.Rules())
+        assert all((found[c] == want[1][c]).all() for c in quality.COLUMNS)
+    monkeypatch.setattr(words, "BLOCK", 1 << 16)
+    words._powers.clear()
+    text = " ".join(str(i % 9973) for i in range(700_000))  # 3.4 MB
+    own = quality.measured(pa.array([text]), quality.Rules())
+    assert own["n_words"][0] == 700_000 and own["base_failed"][0] and len(next(shingles.shingle_sets(pa.array([text])))) == 9973
+    assert max(map(len, words._powers.values())) <= (1 << 16) + 1
+    words._powers.clear()
+
+
 def test_keep_good_keeps_all_columns_of_clean_documents(spark):
     docs = rows(spark, TEXTS)
     kept = quality.keep_good(docs)
@@ -94,7 +118,7 @@ def many():
 
 
 def test_lines_equal_brute_force(spark):
-    docs = spark.createDataFrame(many(), "doc_id long, text string").selectExpr("*", "'x' as key", "1 as drops", "length(text) as n_chars")
+    docs = spark.createDataFrame(many(), "doc_id long, text string").selectExpr("*", "'x' as key", "1 as drops", "'y' as _doc", "'z' as _drops", "length(text) as n_chars")
     got = {r["doc_id"]: tuple(r)[1:] for r in line_dedup.line_report(docs).collect()}
     assert got == brute_lines(many())
     kept = line_dedup.dedup_lines(docs)

@@ -79,6 +79,15 @@ def test_token_files_round_trip(spark, tmp_path):
     assert docs == sorted(docs)
 
 
+def test_rows_that_share_an_id_spread_over_parts(spark, tmp_path):
+    docs = spark.createDataFrame([(9, f"a text of words {i % 3}") for i in range(400)] + [(3, "b")], "doc_id long, text string").repartition(3)
+    token_files.write_files(docs, f"file://{tmp_path}/h", WORD_BPE)
+    got = sorted(token_files.read_files(spark, f"file://{tmp_path}/h").collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [3] + [9] * 400 and [r["start"] for r in got] == list(np.cumsum([0] + [r["n_tokens"] for r in got])[:-1])
+    ordered = token_files._tokens(docs, WORD_BPE, "word", 1, "doc_id", "text", f"file://{tmp_path}/t").where("hist is null").repartitionByRange(4, "doc", "part", "row")
+    assert max(r["count"] for r in ordered.selectExpr("spark_partition_id() as p").groupBy("p").count().collect()) < 250
+
+
 def test_token_files_of_nothing_and_of_odd_rows(spark, tmp_path):
     token_files.write_files(table(spark, TEXTS).limit(0), f"file://{tmp_path}/e", WORD_BPE)
     assert token_files.read_files(spark, f"file://{tmp_path}/e").count() == 0
@@ -161,6 +170,17 @@ def test_words_advance_together(model):
     assert [x.tolist() for x in model.viterbi(words)] == [model.viterbi([w])[0].tolist() for w in words]
 
 
+def test_words_of_any_lengths_advance_alike(model, monkeypatch):
+    rnd = random.Random(8)
+    words = [w for w in {"".join(rnd.choices("abcdefgh0123+/AB", k=rnd.randint(1, 60))) for _ in range(300)} if set(w) <= model.single.keys()] + ["▁" * 40, "a"]
+    want = [model.viterbi([w])[0].tolist() for w in words]
+    for span in (11, 1 << 15):
+        monkeypatch.setattr(pieces, "SPAN", span)
+        assert [x.tolist() for x in model.each(words)] == want
+    blob = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", k=300_000))
+    assert model.decode(model.encode([blob])[0]) == blob
+
+
 def test_library_agrees_where_it_is_optimal(model):
     spm = pytest.importorskip("sentencepiece")
     pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
