@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Text handed to numpy or a tokenizer at once, in bytes; only a longer single document exceeds it.
 SLICE_BYTES = 1 << 20
 #: Rows go to Python workers in batches of at most so many bytes; only a longer single document exceeds it.
-BATCH_BYTES, _BATCH_CONF, _BATCH_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+BATCH_BYTES, _BATCH_CONF, _BATCH_DEFAULT = 1 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: Tables of at most so many rows are broadcast, once counted.
 MOST_BROADCAST = 1 << 20
 #: A key is hot if it holds more than LEAST_HOT rows and more than 1 of HOT_KEYS of all rows: there are fewer than HOT_KEYS such keys.
@@ -70,7 +70,7 @@ def claim(owner: str, release: Callable[[], None] | None = None) -> None:
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Writes df as Parquet and reads it back: lineage ends there, and lost executors take nothing with them. Small row groups bound what a task holds."""
-    df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).option("parquet.page.size", 256 << 10).parquet(path)
+    df.write.option("compression", "lz4_raw").option("parquet.block.size", 16 << 20).option("parquet.page.size", 256 << 10).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

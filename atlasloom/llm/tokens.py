@@ -23,7 +23,7 @@ from .common import claim
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Cached pieces per worker: beyond it a new cache begins, into which pieces of the old one move when they
 #: are met again. A bound on memory alone: the ids do not depend on it.
-CACHED = 600_000
+CACHED = 480_000
 _DISPUTED = "\x1c\x1d\x1e\x1f"
 _RUN = re.compile(r"\s\s")
 _PLAIN = re.compile("[^\\s\x01\x1e]+").fullmatch
