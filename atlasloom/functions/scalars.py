@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,11 +19,32 @@ def round7(value: Column) -> Column:
     return F.round(value * 1e7) / F.lit(1e7)
 
 
+@cache
+def _folds() -> tuple[str, str, str]:
+    """By compatibility decomposition, what is ASCII in it: characters that become one, those in order, and the others as a text of `\\0` + character + its ASCII."""
+    one, plain, more = [], [], []
+    for code in range(0x80, 0x20000):
+        char = chr(code)
+        found = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode() if not 0xD800 <= code < 0xE000 else ""
+        if len(found) == 1:
+            one.append(char)
+            plain.append(found)
+        elif found:
+            more.append(f"\0{char}{found}")
+    return "".join(one), "".join(plain), "".join(more) + "\0"
+
+
 def slugify(text: Column) -> Column:
-    """Lower case, accents folded to ASCII, other runs as single hyphens, none at the ends."""
-    accented, plain = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
-    folded = F.translate(F.lower(text), accented, plain)
-    return F.regexp_replace(F.regexp_replace(folded, "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    """Compatibility forms and accents folded to ASCII, what has no ASCII dropped, lower case, other runs as single hyphens, none at the ends."""
+    one, plain, more = _folds()
+
+    def several(char: Column) -> Column:
+        found = F.call_function("regexp_extract", F.lit(more), F.concat(F.lit("\\x00\\Q"), char, F.lit("\\E([^\\x00]*)")), F.lit(1))
+        return F.when(char.rlike("^[\\x00-\\x7F]*$"), char).otherwise(found)
+
+    folded = F.translate(text, one, plain)
+    folded = F.when(folded.rlike("[^\\x00-\\x7F]"), F.array_join(F.transform(F.split(folded, "(?!^)"), several), "")).otherwise(folded)
+    return F.regexp_replace(F.regexp_replace(F.lower(folded), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
 def alias_list(text: Column) -> Column:

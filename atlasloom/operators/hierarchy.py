@@ -1,8 +1,9 @@
-"""The hierarchy of places: ancestors by pointer doubling, depth, administrative levels, cycles.
+"""The hierarchy of places: chains of ancestors, depth, administrative levels, cycles.
 
-Only ids that occur as a parent take part in the doubling; in a registry these are few beside the
-facilities below them, which are attached by one join at the end. Chains carry the ancestors' few
-attributes, so no later stage looks them up again.
+Only ids that occur as a parent are looked up again and again, as deep as a place may lie, in one plan over one
+table; in a registry they are few beside the facilities below them, which are attached by one join at the end. Chains
+carry the ancestors' few attributes, so no later stage looks them up again. What is still open then lies too deep, on a
+cycle or below one, and is told apart by pointer doubling among itself.
 """
 
 from __future__ import annotations
@@ -43,42 +44,45 @@ def resolve(records: DataFrame) -> DataFrame:
     linked = first.join(known, F.col("part_of") == F.col("_id"), "left").withColumnRenamed("_id", "parent")
     inner = linked.join(linked.where("parent is not null").select(F.col("parent").alias("_p")).distinct(), F.col("id") == F.col("_p"), "left_semi")
     inner = written(inner.select("id", "parent", (F.col("type") == ADMIN).alias("admin"), "name", "pcode"), f"{path}/inner")
-    own = inner.select(F.col("id").alias("_i"), F.struct("id", "admin", "name", "pcode").alias("_own"))
-    state = inner.join(own, F.col("parent") == F.col("_i"), "left").select("id", F.col("parent").alias("top"), F.when(F.col("parent").isNull(), F.array().cast(CHAIN)).otherwise(F.array("_own")).alias("chain"))
-    hops, k = 1, 0
-    state = written(state, f"{path}/hops0")
-    while (unsettled := state.where("top is not null").limit(1).count()) and hops < MAX_DEPTH + 1:
-        state, hops, k = written(_doubled(state, True), f"{path}/hops{k + 1}"), hops * 2, k + 1
-    cyclic = _endless(state, path) if unsettled else state.limit(0).select("id", F.lit("cycle").alias("fate"))
-    above = state.join(cyclic, "id", "left").select(F.col("id").alias("_i"), "chain", F.col("fate").alias("_fate"))
-    place = linked.join(above, F.col("parent") == F.col("_i"), "left").drop("_i").join(cyclic.select(F.col("id").alias("_i"), F.col("fate").alias("_own")), F.col("id") == F.col("_i"), "left").drop("_i")
-    mine = own.select(F.col("_i"), F.col("_own").alias("_up"))
-    place = place.join(mine, F.col("parent") == F.col("_i"), "left").drop("_i")
-    deep = F.size("chain") + 1 >= MAX_DEPTH
-    dropped = F.when(F.col("parent").isNull(), None).when(F.col("_own").isNotNull(), F.col("_own")).when(F.col("_fate").isNotNull(), "unreachable_ancestor").when(deep, "too_deep")
-    none = F.array().cast(CHAIN)
-    chain = F.when(F.col("parent").isNull(), none).otherwise(F.concat(F.array("_up"), F.col("chain")))
+    own = inner.select(F.col("id").alias("_i"), F.struct("id", "admin", "name", "pcode").alias("_own"), F.col("parent").alias("_top"))
+    state = inner.select("id", F.col("parent").alias("top"), F.array().cast(CHAIN).alias("chain"))
+    for _ in range(MAX_DEPTH):  # one plan: each step looks up the next ancestor of those that have one
+        state = state.join(own, _spread("top", "id") == F.col("_i"), "left")
+        state = state.select("id", F.col("_top").alias("top"), F.when(F.col("_i").isNull(), F.col("chain")).otherwise(F.array_append("chain", F.col("_own"))).alias("chain"))
+    state = written(state, f"{path}/chains")
+    cyclic = _endless(state.where("top is not null").select("id", "top"), path) if state.where("top is not null").limit(1).count() else state.limit(0).select("id", F.lit("cycle").alias("fate"))
+    above = state.join(own.drop("_top"), F.col("id") == F.col("_i")).join(cyclic, "id", "left")
+    above = written(above.select(F.col("id").alias("_i"), F.array_prepend("chain", F.col("_own")).alias("chain"), F.col("fate").alias("_fate")), f"{path}/above")
+    place = linked.join(above, _spread("parent", "id") == F.col("_i"), "left").drop("_i")
+    if cyclic.limit(1).count():
+        place = place.join(cyclic.select(F.col("id").alias("_i"), F.col("fate").alias("_own")), F.col("id") == F.col("_i"), "left").drop("_i")
+    else:
+        place = place.withColumn("_own", F.lit(None).cast("string"))
+    dropped = F.when(F.col("parent").isNull(), None).when(F.col("_own").isNotNull(), F.col("_own")).when(F.col("_fate").isNotNull(), "unreachable_ancestor").when(F.size("chain") >= MAX_DEPTH, "too_deep")
+    chain = F.coalesce("chain", F.array().cast(CHAIN))
     return place.select(*first.columns, "parent", dropped.alias("dropped"), chain.alias("chain"))
 
 
-def _doubled(state: DataFrame, chains: bool) -> DataFrame:
-    """Every pointer follows its target's pointer."""
-    far = state.select(F.col("id").alias("_i"), F.col("top").alias("_t"), *([F.col("chain").alias("_c")] if chains else []))
-    joined = state.join(far, F.col("top") == F.col("_i"), "left")
-    return joined.select("id", F.col("_t").alias("top"), *([F.when(F.col("_c").isNull(), F.col("chain")).otherwise(F.concat("chain", "_c")).alias("chain")] if chains else []))
+def _spread(pointer: str, key: str):
+    """A pointer as a join key: where it is null, a text that no id equals and that spreads such rows over the tasks."""
+    return F.coalesce(pointer, F.concat(F.lit("\0"), key))
 
 
 def _endless(state: DataFrame, path: str) -> DataFrame:
-    """(id, fate) of nodes from which no root is reached: cycle for members, else unreachable_ancestor.
+    """(id, fate) of the nodes (id, top) with an open pointer from which no root is reached: cycle for members, else unreachable_ancestor.
 
-    The nodes whose pointer is still open follow on by themselves; after as many hops as there are such nodes, an
-    open pointer lies on a cycle, and since a cycle maps onto itself every member is some pointer's target.
+    Pointers are doubled until a round changes neither the number of open ones nor that of their targets. From then
+    on the step maps the targets onto themselves, so they are the cycles' members, and all others lead into them.
     """
-    rest, k = written(state.where("top is not null").select("id", "top"), f"{path}/open0"), 0
-    bound = rest.count()
-    while bound >> k:
+    rest, k, last = written(state, f"{path}/open0"), 0, None
+    while True:
+        found = rest.agg(F.count("*").alias("n"), F.count_distinct("top").alias("targets")).first()
+        if not found["n"] or tuple(found) == last:
+            break
+        last, k = tuple(found), k + 1
         # a target outside the rest has reached a root
-        rest, k = written(_doubled(rest, False).where("top is not null"), f"{path}/open{k + 1}"), k + 1
+        far = rest.select(F.col("id").alias("_i"), F.col("top").alias("_t"))
+        rest = written(rest.join(far, F.col("top") == F.col("_i")).select("id", F.col("_t").alias("top")), f"{path}/open{k}")
     on = rest.select(F.col("top").alias("_m")).distinct()
     return rest.join(on, F.col("id") == F.col("_m"), "left").select("id", F.when(F.col("_m").isNotNull(), "cycle").otherwise("unreachable_ancestor").alias("fate"))
 
@@ -104,10 +108,10 @@ def with_country(levels: DataFrame, country: str | None = None) -> DataFrame:
 
 
 def hierarchy_issues(records: DataFrame, resolved: DataFrame) -> DataFrame:
-    """(kind, location_id, detail) of everything the hierarchy reports."""
+    """(kind, location_id, detail, seq) of everything the hierarchy reports."""
 
     def issue(rows: DataFrame, kind: Column, detail: Column) -> DataFrame:
-        return rows.select(kind.alias("kind"), F.col("id").alias("location_id"), detail.cast("string").alias("detail"))
+        return rows.select(kind.alias("kind"), F.col("id").alias("location_id"), detail.cast("string").alias("detail"), "seq")
 
     found = issue(duplicates(records), F.lit("duplicate_id"), F.col("seq"))
     found = found.unionByName(issue(orphans(records), F.lit("orphan"), F.col("part_of")))
@@ -123,6 +127,27 @@ def admin_ancestors(levels: DataFrame) -> DataFrame:
 
 
 def depth_in_set(rows: DataFrame) -> DataFrame:
-    """Depth of each row among the given rows alone: a parent outside the set makes a root."""
-    shaped = rows.withColumns({c: F.lit(None).cast("string") for c in ("type", "name", "pcode") if c not in rows.columns})
-    return resolve(shaped).withColumn("depth", F.size("chain"))
+    """Adds depth, the number of ancestors of each row among the given rows alone (a parent outside the set makes a root), and dropped:
+    cycle for rows on a cycle or below one. Chains may be of any length."""
+    path = folder(rows.sparkSession)
+    first = first_of_each(rows.select("id", "part_of", "seq"))
+    linked = first.join(first.select(F.col("id").alias("parent")), F.col("part_of") == F.col("parent"), "left")
+    inner = linked.join(linked.where("parent is not null").select(F.col("parent").alias("_p")).distinct(), F.col("id") == F.col("_p"), "left_semi")
+    inner = written(inner.select("id", "parent"), f"{path}/inner")
+    state = inner.select("id", F.col("parent").alias("top"), F.col("parent").isNotNull().cast("long").alias("depth"))
+    own = inner.select(F.col("id").alias("_i"), F.col("parent").alias("_top"))
+    for _ in range(MAX_DEPTH):
+        state = state.join(own, _spread("top", "id") == F.col("_i"), "left").select("id", F.col("_top").alias("top"), (F.col("depth") + F.col("_top").isNotNull().cast("long")).alias("depth"))
+    state, last, k = written(state, f"{path}/depth0"), None, 0
+    while True:
+        found = tuple(state.where("top is not null").agg(F.count("*"), F.count_distinct("top")).first())
+        if not found[0] or found == last:
+            break
+        last, k = found, k + 1
+        far = state.select(F.col("id").alias("_i"), F.col("top").alias("_t"), F.col("depth").alias("_d"))
+        state = state.join(far, _spread("top", "id") == F.col("_i"), "left").select("id", F.col("_t").alias("top"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"))
+        state = written(state, f"{path}/depth{k}")
+    above = state.select(F.col("id").alias("_i"), F.col("depth").alias("_d"), F.col("top").isNotNull().alias("_open"))
+    placed = linked.join(above, _spread("parent", "id") == F.col("_i"), "left")
+    found = placed.select(F.col("id").alias("_k"), F.coalesce(F.col("_d") + 1, F.lit(0)).cast("int").alias("depth"), F.when(F.col("_open"), "cycle").alias("dropped"))
+    return rows.join(found, F.col("id") == F.col("_k")).drop("_k")

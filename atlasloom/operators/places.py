@@ -15,8 +15,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions import geometry as geo
 from ..functions.cells import hilbert_key
 from ..functions.documents import Profile, parse_location, parse_organization
+from ..workspace import written
 from . import hierarchy
+from .reports import duplicate_codes
 
+# The columns of the dataset's layout.
 _TEXT = "version_id last_updated name status description type physical_type part_of managing_organization pcode gers_id settlement_type delivery_strategy facility_level ownership".split()
 _IDENTIFIER = "array<struct<system:string,value:string>>"
 _ISSUES = "array<struct<kind:string,location_id:string,detail:string>>"
@@ -33,6 +36,10 @@ def _shape(record: dict, issues: list[dict]) -> dict:
         issues.append({"kind": kind, "location_id": key, "detail": detail})
 
     shape = None
+    names = ("xmin", "ymin", "xmax", "ymax")
+    if boundary is None and position is not None and not record.get("boundary_url"):
+        x, y = position
+        return record | {"geom_type": "point", "lon": x, "lat": y, "geometry": geo.to_wkb(("point", position)), "bbox": dict(zip(names, (x, y, x, y), strict=True))}
     if boundary is not None:
         shape, found = geo.parse_boundary(boundary)
         for kind, detail in found:
@@ -57,7 +64,6 @@ def _shape(record: dict, issues: list[dict]) -> dict:
     if (point := position or geo.interior_point(shape)) is None:
         say("geometry_no_interior_point", "no interior point could be computed for a non-empty geometry")
         return record
-    names = ("xmin", "ymin", "xmax", "ymax")
     return record | {"geom_type": "point" if shape[0] == "point" else "polygon", "lon": point[0], "lat": point[1], "geometry": geo.to_wkb(shape), "bbox": dict(zip(names, box, strict=True))}
 
 
@@ -66,14 +72,18 @@ def _parsed(lines: DataFrame, columns: str, read) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = arrow.names[1:]
+        names, nothing = arrow.names[1:-1], {}
         for batch in batches:
-            rows = []
+            columns, issues = {c: [] for c in names}, []
+            put = [(c, column.append) for c, column in columns.items()]
             for text in batch.column("text").to_pylist():
-                record, issues = read(text)
-                rows.append({**dict.fromkeys(names), **(record or {}), "issues": issues})
-            body = pa.RecordBatch.from_pylist([{k: r[k] for k in names} for r in rows], pa.schema(list(arrow)[1:]))
-            yield pa.RecordBatch.from_arrays([batch.column("seq"), *body.columns], names=arrow.names)
+                record, found = read(text)
+                get = (record or nothing).get
+                for c, append in put:
+                    append(get(c))
+                issues.append(found)
+            body = [pa.array(columns[c], arrow.field(c).type) for c in names]
+            yield pa.RecordBatch.from_arrays([batch.column("seq"), *body, pa.array(issues, arrow.field("issues").type)], names=arrow.names)
 
     return lines.select("seq", "text").mapInArrow(run, schema)
 
@@ -94,8 +104,11 @@ def flatten_organizations(lines: DataFrame, profile: Profile | None = None) -> D
     return _parsed(lines, _ORGANIZATION, lambda text: parse_organization(text, own))
 
 
-def located(flat: DataFrame, country: str | None = None, keep_without_geometry: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(retained rows with hierarchy, country, tier and Hilbert key; issues) of flattened places."""
+def located(flat: DataFrame, country: str | None = None, keep_without_geometry: bool = False, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(retained rows with hierarchy, country, tier and Hilbert key; issues with the seq of their record) of flattened places.
+
+    With a path the rows are written there, and the issues that they tell are read from there.
+    """
     records = flat.where("id is not null")
     narrow = records.select("id", "part_of", "type", "name", "pcode", "seq")
     resolved = hierarchy.resolve(narrow)
@@ -109,11 +122,11 @@ def located(flat: DataFrame, country: str | None = None, keep_without_geometry:
     rows = rows.withColumn("hilbert", hilbert_key(*middle))
     deepest = F.get(F.reverse(F.array_sort(F.transform(F.filter("cells", lambda c: c["scheme"] == "quadkey"), lambda c, i: F.struct(c["level"], i, c["cell"].alias("cell"))))), F.lit(0))
     rows = rows.withColumns({"quadkey": F.when(F.col("geom_type").isNotNull(), deepest["cell"]), "quadkey_level": F.when(F.col("geom_type").isNotNull(), deepest["level"])})
-    issues = flat.select(F.explode("issues").alias("i")).select("i.*").unionByName(hierarchy.hierarchy_issues(narrow, resolved))
-    unknown = rows.where("country = 'unknown'").select(F.lit("no_country").alias("kind"), F.col("id").alias("location_id"), F.lit("no administrative root with a code").alias("detail"))
-    codes = rows.where("pcode is not null").groupBy("pcode").agg(F.array_join(F.array_sort(F.collect_list("id")), ", ").alias("ids"), F.count("*").alias("n")).where("n > 1")
-    twice = codes.select(F.lit("duplicate_pcode").alias("kind"), F.col("pcode").alias("location_id"), F.col("ids").alias("detail"))
-    return rows, issues.unionByName(unknown).unionByName(twice)
+    rows = written(rows, path) if path else rows
+    issues = flat.where(F.size("issues") > 0).select("seq", F.explode("issues").alias("i")).select("i.*", "seq").unionByName(hierarchy.hierarchy_issues(narrow, resolved))
+    unknown = rows.where("country = 'unknown'").select(F.lit("no_country").alias("kind"), F.col("id").alias("location_id"), F.lit("no administrative root with a code").alias("detail"), "seq")
+    twice = duplicate_codes(rows).select(F.lit("duplicate_pcode").alias("kind"), F.col("pcode").alias("location_id"), F.col("ids").alias("detail"))
+    return rows, issues.unionByName(unknown).unionByName(twice, allowMissingColumns=True)
 
 
 def with_organizations(rows: DataFrame, organizations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -122,7 +135,7 @@ def with_organizations(rows: DataFrame, organizations: DataFrame) -> tuple[DataF
     own = first.select(F.col("id").alias("_o"), F.col("name").alias("_name"), "nhfr_code", "nhfr_uid", F.col("identifier").alias("organization_identifier"), "facility_level_text", "ownership_text", F.col("fhir_json").alias("organization_json"))
     joined = rows.join(own, F.col("managing_organization") == F.col("_o"), "left")
     kind = F.when(F.col("managing_organization").isNotNull() & F.col("_o").isNull(), "organization_missing").when(F.col("_name") != F.col("name"), "organization_name_mismatch")
-    issues = joined.select(kind.alias("kind"), F.col("id").alias("location_id"), F.col("managing_organization").alias("detail")).where("kind is not null")
+    issues = joined.select(kind.alias("kind"), F.col("id").alias("location_id"), F.col("managing_organization").alias("detail"), "seq").where("kind is not null")
     return joined.drop("_o", "_name"), issues
 
 

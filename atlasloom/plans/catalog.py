@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cells, periods, scalars
 from ..operators import bundles, facts, hierarchy, merge, raster, reports
+from ..workspace import folder, written
 from . import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,8 +28,20 @@ def query(sql: str | None = None):
     return register
 
 
+_tables: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """A table that several queries of a session read, made by the first of them."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        _tables[key] = written(make(), f"{folder(spark)}/{name}")
+    return _tables[key]
+
+
 def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hierarchy.with_country(hierarchy.with_levels(hierarchy.resolve(views.locs(spark, sf_dir))))
+    """The registry with its hierarchy resolved: once a session, as a run does."""
+    return _once(spark, sf_dir, "tree", lambda: hierarchy.with_country(hierarchy.with_levels(hierarchy.resolve(views.locs(spark, sf_dir)))))
 
 
 # Hierarchy
@@ -77,7 +90,7 @@ def q_duplicate_ids(spark, sf_dir):
 
 
 def _dropped(spark, sf_dir, kind: str) -> DataFrame:
-    return hierarchy.resolve(views.chain(spark, sf_dir)).where(F.col("dropped") == kind).select("id")
+    return _once(spark, sf_dir, "chains", lambda: hierarchy.resolve(views.chain(spark, sf_dir))).where(F.col("dropped") == kind).select("id")
 
 
 @query(f"WITH RECURSIVE {views.CHAIN} SELECT k::VARCHAR AS id FROM ring")
@@ -100,7 +113,7 @@ def q_too_deep(spark, sf_dir):
     UNION ALL SELECT 'unreachable_ancestor' FROM parents WHERE k NOT IN (SELECT k FROM down) AND k NOT IN (SELECT k FROM ring)) GROUP BY kind""")
 def q_issue_counts(spark, sf_dir):
     records = views.chain(spark, sf_dir)
-    return reports.issue_counts(hierarchy.hierarchy_issues(records, hierarchy.resolve(records)))
+    return reports.issue_counts(hierarchy.hierarchy_issues(records, _once(spark, sf_dir, "chains", lambda: hierarchy.resolve(records))))
 
 
 @query("SELECT kind, seq FROM (SELECT event_type AS kind, event_id AS seq, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events) WHERE n <= 1000")
@@ -133,10 +146,8 @@ def q_hilbert_key(spark, sf_dir):
 
 @query(_HILBERT + " SELECT l.type, h.id, row_number() OVER (PARTITION BY l.type ORDER BY hilbert, seq)::INTEGER AS place FROM h JOIN locs l USING (id)")
 def q_hilbert_order(spark, sf_dir):
-    from pyspark.sql import Window
-
     rows = _placed(spark, sf_dir).withColumn("hilbert", cells.hilbert_key(F.col("lon"), F.col("lat")))
-    return rows.select("type", "id", F.row_number().over(Window.partitionBy("type").orderBy("hilbert", "seq")).alias("place"))
+    return reports.output_order(rows, ["type"]).select("type", "id", "place")
 
 
 def _tile_sql(level: int) -> str:
@@ -414,8 +425,7 @@ def _orgs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @query(f"WITH {_ORGS} SELECT p.id, p.managing_organization, o.name AS organization_name FROM places p LEFT JOIN orgs o ON o.id = p.managing_organization")
 def q_location_org_join(spark, sf_dir):
-    places, orgs = _orgs(spark, sf_dir)
-    return places.join(orgs.select(F.col("id").alias("_o"), F.col("name").alias("organization_name")), F.col("managing_organization") == F.col("_o"), "left").select("id", "managing_organization", "organization_name")
+    return reports.with_organizations(*_orgs(spark, sf_dir)).select("id", "managing_organization", F.col("_name").alias("organization_name"))
 
 
 @query(f"WITH {_ORGS} SELECT id AS location_id FROM places WHERE managing_organization NOT IN (SELECT id FROM orgs)")

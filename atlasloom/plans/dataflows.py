@@ -8,14 +8,16 @@ from __future__ import annotations
 import json
 import os
 from datetime import UTC, datetime
+from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cells import parse_cell_argument
 from ..functions.documents import Profile, dumps, references
 from ..operators import builders, bundles, edits, hierarchy, merge, places, raster
-from ..operators.reports import MOST_ISSUES, issue_counts
+from ..operators.order import numbered, write_text as write_lines
+from ..operators.reports import MOST_ISSUES, capped_issues, issue_counts
 from ..sources import files, geoparquet, geotiff, rest
 from ..workspace import folder, written
 
@@ -29,25 +31,15 @@ def _store(path: str, value: object) -> None:
 
 
 def report_of(issues: DataFrame, **more: object) -> dict:
-    counts = {r["kind"]: r["n"] for r in issue_counts(issues).collect()}
-    kept = []
-    for kind in sorted(counts):
-        kept += [r.asDict() for r in issues.where(F.col("kind") == kind).limit(MOST_ISSUES).collect()]
-    return {**more, "counts": counts, "issues": kept, "truncated": {k: n - MOST_ISSUES for k, n in counts.items() if n > MOST_ISSUES}}
+    """The report of (kind, location_id, detail, and seq if there is an order of arrival): exact counts, the first issues of each kind.
 
-
-def write_lines(rows: DataFrame, out: str, order: list[str], column: str = "text") -> int:
-    """Documents as one NDJSON file in order, streamed partition by partition through the driver to a part file that then takes its name."""
-    n, part = 0, f"{out}.part"
-    os.makedirs(os.path.dirname(os.path.abspath(out)), exist_ok=True)
-    import gzip
-
-    with (gzip.open if out.endswith(".gz") else open)(part, "wt", encoding="utf-8") as f:
-        for r in rows.orderBy(*order).select(column).toLocalIterator():
-            f.write(r[0] + "\n")
-            n += 1
-    os.replace(part, out)
-    return n
+    The plan behind the issues runs once, into a table; counts and issues come from that.
+    """
+    own = [F.col(c) if c in issues.columns else F.lit(None).cast("string").alias(c) for c in ("kind", "location_id", "detail", "seq")]
+    found = written(issues.select(*own), f"{folder(issues.sparkSession)}/issues")
+    counts = {r["kind"]: r["n"] for r in issue_counts(found).collect()}
+    kept = capped_issues(found, MOST_ISSUES, ["seq", "location_id", "detail"]).orderBy("kind", "nth").select("kind", "location_id", "detail").collect()
+    return {**more, "counts": counts, "issues": [r.asDict() for r in kept], "truncated": {k: n - MOST_ISSUES for k, n in counts.items() if n > MOST_ISSUES}}
 
 
 def transform(spark: SparkSession, snapshot: str, out: str, country: str | None = None, row_group_size: int = geoparquet.ROWS_IN_GROUP, partition_by: str = "country,geom_type,type", keep_without_geometry: bool = False, profile: Profile | None = None) -> dict:
@@ -59,15 +51,14 @@ def transform(spark: SparkSession, snapshot: str, out: str, country: str | None
         os.remove(report_path)
     path = folder(spark)
     flat = written(places.flatten(files.read_lines(spark, f"{snapshot}/locations.ndjson"), profile), f"{path}/flat")
-    rows, issues = places.located(flat, country, keep_without_geometry)
-    rows = written(rows, f"{path}/rows")
-    issues = issues.unionByName(places.outside_parent(rows))
+    rows, issues = places.located(flat, country, keep_without_geometry, f"{path}/rows")
+    issues = issues.unionByName(places.outside_parent(rows), allowMissingColumns=True)
     at = f"{snapshot}/organizations.ndjson"
     empty = {"nhfr_code": "string", "nhfr_uid": "string", "organization_identifier": "array<struct<system:string,value:string>>", "facility_level_text": "string", "ownership_text": "string", "organization_json": "string"}
     if os.path.exists(at):
         orgs = places.flatten_organizations(files.read_lines(spark, at), profile)
         rows, more = places.with_organizations(rows, orgs)
-        issues = issues.unionByName(more)
+        rows, issues = written(rows, f"{path}/paired"), issues.unionByName(more, allowMissingColumns=True)
     else:
         rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in empty.items()})
     manifest = geoparquet.write(rows.drop("chain", "seq", "cells", "boundary_url", "first_pcode"), out, keys, row_group_size)
@@ -192,7 +183,7 @@ def diff(spark: SparkSession, snapshot: str, given: str, out: str, profile: Prof
 def load(spark: SparkSession, given: str, server: str | None = None, dry_run: bool = False, batch_size: int = 100, concurrency: int = 1, token: str | None = None, retries: int = 3) -> dict:
     """Plans bundles with the cluster and posts them in an order that respects references; a dry run returns the plan.
 
-    A changeset is the edits of one sitting; its bundles are posted from here, one at a time in memory per worker.
+    Its bundles are posted from here, one in memory for each worker.
     """
     from pyspark.sql.functions import pandas_udf
 
@@ -201,16 +192,17 @@ def load(spark: SparkSession, given: str, server: str | None = None, dry_run: bo
         return texts.map(lambda t: references(json.loads(t)))
 
     lines = files.expand_bundles(files.read_lines(spark, given))
-    docs = lines.select(F.get_json_object("text", "$.resourceType").alias("type"), F.get_json_object("text", "$.id").alias("id"), F.substring_index(F.get_json_object("text", "$.partOf.reference"), "/", -1).alias("part_of"), F.struct("seq").alias("at"), "text")
-    # a changeset's lines are numbered in their order; it is bounded by what one sitting edits
-    docs = docs.withColumn("seq", F.row_number().over(Window.orderBy("at")).cast("long"))
+    docs = lines.select(F.get_json_object("text", "$.resourceType").alias("type"), F.get_json_object("text", "$.id").alias("id"), F.substring_index(F.get_json_object("text", "$.partOf.reference"), "/", -1).alias("part_of"), "seq", "text")
+    path = folder(spark)
+    docs = numbered(written(docs, f"{path}/docs"), ["seq"], "nth").drop("seq").withColumnRenamed("nth", "seq")
     twice = docs.groupBy("type", "id").count().where("count > 1").limit(1).collect()
     if twice:
         raise ValueError(f"{twice[0]['type']}/{twice[0]['id']} occurs twice")
-    path = folder(spark)
-    ordered = written(bundles.into_bundles(bundles.load_order(docs.select("type", "id", "part_of", "seq", "text")), batch_size), f"{path}/plan")
-    if ordered.where("dropped in ('cycle', 'unreachable_ancestor')").limit(1).count():
+    planned = bundles.into_bundles(bundles.load_order(docs.select("type", "id", "part_of", "seq")), batch_size)
+    if planned.where("dropped is not null").limit(1).count():
         raise ValueError("the resources' parents form a cycle")
+    # a bundle's documents lie together: the plan is read once, from its first bundle to its last
+    ordered = written(planned.join(docs.select("seq", "text"), "seq").orderBy("place"), f"{path}/plan")
     found = ordered.select("type", "id", F.explode(refs("text")).alias("r")).select("type", "id", F.substring_index("r", "/", 1).alias("ref_type"), F.substring_index("r", "/", -1).alias("ref_id"))
     needs: dict[int, set[int]] = {}
     for r in bundles.dependencies(ordered, found).collect():
@@ -221,7 +213,6 @@ def load(spark: SparkSession, given: str, server: str | None = None, dry_run: bo
     client = rest.Client(server, token=token, retries=retries)
     created = {r["type"] for r in ordered.where("get_json_object(text, '$.meta.versionId') is null").select("type").distinct().collect()}
     warnings = rest.preflight(client.get("metadata"), created)
-    numbers = [r["bundle"] for r in ordered.select("bundle").distinct().collect()]
 
     def post(resources: list[dict]) -> None:
         try:
@@ -231,11 +222,9 @@ def load(spark: SparkSession, given: str, server: str | None = None, dry_run: bo
                 raise ValueError("; ".join(rest.conflicts(client, resources)) or str(e)) from e
             raise
 
-    def body(n: int) -> list[dict]:
-        return [json.loads(r["text"]) for r in ordered.where(F.col("bundle") == n).orderBy("place").collect()]
-
-    done = rest.post_all({n: [n] for n in numbers}, needs, lambda one: post(body(one[0])), concurrency)
-    return {"bundles": len(done), "warnings": warnings}
+    rows = ordered.select("bundle", "text", "place").orderBy("place").toLocalIterator(prefetchPartitions=True)
+    whole = ((n, [json.loads(r["text"]) for r in group]) for n, group in groupby(rows, key=lambda r: r["bundle"]))
+    return {"bundles": len(rest.post_stream(whole, needs, post, concurrency)), "warnings": warnings}
 
 
 def index(spark: SparkSession, snapshot: str, cells: list[str], out: str, refresh: bool = False, profile: Profile | None = None) -> dict:
@@ -249,8 +238,7 @@ def population(spark: SparkSession, snapshot: str, raster_path: str, level: int,
     """Sums a raster over the units of a level, rolls them up, and writes a group for each unit."""
     path = folder(spark)
     flat = written(places.flatten(files.read_lines(spark, f"{snapshot}/locations.ndjson"), profile), f"{path}/flat")
-    rows, issues = places.located(flat, keep_without_geometry=True)
-    rows = written(rows, f"{path}/rows")
+    rows, issues = places.located(flat, None, True, f"{path}/rows")
     grid, leaves = geotiff.read_grid(raster_path), rows.where(F.col("admin_level") == level)
     tiles = geotiff.tiles(spark, raster_path)
     sums = written(raster.polygon_sums(tiles, leaves.where("geom_type = 'polygon'").select("id", "geometry", "bbox"), grid), f"{path}/sums")

@@ -1,6 +1,6 @@
 """GeoParquet: partitioned writer with bounding-box footers, reader, and inspection of footers.
 
-A partition is a folder `key=value/...` whose columns are also stored in the file. Tasks write their rows in
+A partition is a folder `key=value/...` whose columns are also stored in the file. Tasks write their stretch of the curve in
 order to files of their own attempt in a staging folder; only files named in the manifest that the job returns
 are moved to their places, so failed and repeated attempts leave nothing behind.
 """
@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.scalars import path_segment
 
-KEYS, ROWS_IN_GROUP, ROWS_IN_FILE = ("country", "geom_type", "type"), 20_000, 5_000_000
+KEYS, ROWS_IN_GROUP = ("country", "geom_type", "type"), 20_000
+#: Rows, and bytes of geometry and documents before compression, that a file holds about.
+ROWS_IN_FILE, BYTES_IN_FILE = 200_000, 256 << 20
 
 
 def geo_footer(box: list[float] | None, kinds: list[str]) -> bytes:
@@ -50,22 +53,26 @@ def place_folders(values: list[tuple], keys: list[str]) -> tuple[dict[tuple, str
     return folders, issues
 
 
-def write(rows: DataFrame, out: str, keys: tuple[str, ...] = KEYS, rows_in_group: int = ROWS_IN_GROUP, order: str = "hilbert") -> list[dict]:
-    """Writes rows below out (a folder that driver and executors share), replacing what is there; returns the manifest.
+def write(rows: DataFrame, out: str, keys: tuple[str, ...] = KEYS, rows_in_group: int = ROWS_IN_GROUP, order: str = "hilbert", tie: str = "id") -> list[dict]:
+    """Writes rows (a written table) below out, a folder that driver and executors share, replacing what is there; returns the manifest.
 
+    Rows are dealt by ranges of (partition, curve key, id): a task holds a stretch of the curve, so that a file's box
+    is small, and no partition is too large for its files. A file ends where a stretch or its partition does.
     The number of distinct partition values is what the layout can hold as folders; they alone reach the driver.
     """
     staging, final = f"{out.rstrip('/')}.staging-{uuid.uuid4().hex}", out.rstrip("/")
     shown = rows.withColumns({f"_k{i}": F.coalesce(F.col(k).cast("string"), F.lit("null")) for i, k in enumerate(keys)})
     names = [f"_k{i}" for i in range(len(keys))]
-    counts = shown.groupBy(*names).agg(F.count("*").alias("_n")).withColumns({f"_s{i}": path_segment(F.col(n)) for i, n in enumerate(names)})
+    size = F.sum(F.coalesce(F.length("geometry"), F.lit(0)) + F.coalesce(F.length("fhir_json"), F.lit(0))) if "fhir_json" in rows.columns else F.sum(F.coalesce(F.length("geometry"), F.lit(0)))
+    counts = shown.groupBy(*names).agg(F.count("*").alias("_n"), size.alias("_bytes")).withColumns({f"_s{i}": path_segment(F.col(n)) for i, n in enumerate(names)})
     listed = counts.orderBy(*names).collect()
     folders, issues = place_folders([tuple((r[n], r[f"_s{i}"]) for i, n in enumerate(names)) for r in listed], list(keys))
-    sizes = counts.select(*names, F.ceil(F.col("_n") / ROWS_IN_FILE).alias("_files"))
-    dealt = shown.join(sizes, names).withColumn("_file", F.pmod(F.floor(F.col(order) / 65536), F.col("_files")).cast("int"))
-    dealt = dealt.repartition(*names, "_file").sortWithinPartitions(*names, "_file", order).drop("_files")
+    files = max(1, -(-sum(r["_n"] for r in listed) // ROWS_IN_FILE), -(-sum(r["_bytes"] for r in listed) // BYTES_IN_FILE))
+    by = [*names, F.col(order).asc_nulls_last(), tie]
+    dealt = (shown.repartitionByRange(files, *by) if files > 1 else shown.coalesce(1)).sortWithinPartitions(*by)
     layout = [f for f in to_arrow_schema(rows.schema)]
     place = {tuple(v for v, _ in k): v for k, v in folders.items()}
+    kinds = {1: "Point", 3: "Polygon", 6: "MultiPolygon"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, done, writer, now, state = TaskContext.get(), [], None, None, {}
@@ -73,13 +80,21 @@ def write(rows: DataFrame, out: str, keys: tuple[str, ...] = KEYS, rows_in_group
 
         def close() -> None:
             if writer:
+                flush(0)
                 writer.add_key_value_metadata({"geo": geo_footer(state["box"], sorted(state["kinds"])).decode()})
                 writer.close()
-                done.append({"staged": state["path"], "folder": place[now[:-1]], "file": now[-1], "rows": state["rows"]})
+                done.append({"staged": state["path"], "folder": place[now], "file": context.partitionId(), "rows": state["rows"]})
+
+        def flush(least: int) -> None:
+            """Whole row groups of what is held; the rest too if least is 0."""
+            while state["held"] and (sum(t.num_rows for t in state["held"]) >= rows_in_group or not least):
+                table = pa.concat_tables(state["held"])
+                writer.write_table(table.slice(0, rows_in_group), row_group_size=rows_in_group)
+                state["held"] = [table.slice(rows_in_group)] if table.num_rows > rows_in_group else []
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            marks = list(zip(*(table.column(c).to_pylist() for c in [*names, "_file"]), strict=True))
+            marks = list(zip(*(table.column(c).to_pylist() for c in names), strict=True))
             low = 0
             while low < len(marks):
                 high = low
@@ -88,26 +103,30 @@ def write(rows: DataFrame, out: str, keys: tuple[str, ...] = KEYS, rows_in_group
                 if marks[low] != now:
                     close()
                     now = marks[low]
-                    state = {"path": f"{staging}/{attempt}-{len(done)}.parquet", "rows": 0, "box": None, "kinds": set()}
+                    state = {"path": f"{staging}/{attempt}-{len(done)}.parquet", "rows": 0, "box": None, "kinds": set(), "held": []}
                     os.makedirs(staging, exist_ok=True)
                     writer = pq.ParquetWriter(state["path"], pa.schema(layout), compression="zstd", compression_level=3)
                 part = table.slice(low, high - low).select([f.name for f in layout]).cast(pa.schema(layout))
-                writer.write_table(part, row_group_size=rows_in_group)
+                state["held"].append(part)
                 state["rows"] += high - low
-                for box, wkb in zip(part.column("bbox").to_pylist(), part.column("geometry").to_pylist(), strict=True):
-                    if box and wkb:
-                        b, own = state["box"], list(box.values())
-                        state["box"] = own if b is None else [min(b[0], own[0]), min(b[1], own[1]), max(b[2], own[2]), max(b[3], own[3])]
-                        state["kinds"].add({1: "Point", 3: "Polygon", 6: "MultiPolygon"}[wkb[1]])
+                shaped = part.filter(pc.and_(pc.is_valid(part.column("geometry")), pc.is_valid(part.column("bbox"))))
+                if shaped.num_rows:
+                    edges = [pc.struct_field(shaped.column("bbox"), c) for c in ("xmin", "ymin", "xmax", "ymax")]
+                    own = [f(e).as_py() for f, e in zip((pc.min, pc.min, pc.max, pc.max), edges, strict=True)]
+                    b = state["box"]
+                    state["box"] = own if b is None else [min(b[0], own[0]), min(b[1], own[1]), max(b[2], own[2]), max(b[3], own[3])]
+                    state["kinds"].update(kinds[x[0]] for x in pc.unique(pc.binary_slice(shaped.column("geometry"), 1, 2)).to_pylist())
+                flush(rows_in_group)
                 low = high
         close()
         if done:
             yield pa.RecordBatch.from_pylist(done, pa.schema([("staged", pa.string()), ("folder", pa.string()), ("file", pa.int32()), ("rows", pa.int64())]))
 
-    manifest = [r.asDict() for r in dealt.mapInArrow(run, "staged string, folder string, file int, rows long").collect()]
-    ready = f"{final}.new-{uuid.uuid4().hex}"
+    manifest = sorted((r.asDict() for r in dealt.mapInArrow(run, "staged string, folder string, file int, rows long").collect()), key=lambda m: (m["folder"], m["file"]))
+    ready, nth = f"{final}.new-{uuid.uuid4().hex}", {}
     os.makedirs(ready)
     for m in manifest:
+        m["file"] = nth[m["folder"]] = nth.get(m["folder"], -1) + 1
         os.makedirs(f"{ready}/{m['folder']}", exist_ok=True)
         os.replace(m["staged"], f"{ready}/{m['folder']}/part-{m['file']}.parquet")
     shutil.rmtree(staging, ignore_errors=True)

@@ -256,3 +256,27 @@ def post_all(bundles: dict[int, list[dict]], needs: dict[int, set[int]], post: C
                 f.result()
                 done.append(n)
     return done
+
+
+def post_stream(bundles: Iterator[tuple[int, list[dict]]], needs: dict[int, set[int]], post: Callable[[list[dict]], None], workers: int = 1) -> list[int]:
+    """Posts numbered bundles as they come, each after those it needs, which have lower numbers; returns the order in which they ended.
+
+    At most `workers` bundles are held at a time. The first failure stops the rest.
+    """
+    done, running = [], {}
+    with ThreadPoolExecutor(workers) as pool:
+
+        def settle(until: Callable[[], bool]) -> None:
+            while not until():
+                for f in wait(running, return_when=FIRST_COMPLETED).done:
+                    n = running.pop(f)
+                    f.result()
+                    done.append(n)
+
+        for n, resources in bundles:
+            if bad := [k for k in needs.get(n, ()) if k >= n]:
+                raise ValueError(f"bundle {n} waits for {bad}")
+            settle(lambda n=n: len(running) < workers and not needs.get(n, set()) & set(running.values()))
+            running[pool.submit(post, resources)] = n
+        settle(lambda: not running)
+    return done

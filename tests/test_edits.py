@@ -9,15 +9,15 @@ from atlasloom.functions.documents import Profile, content_hash, references
 from atlasloom.functions.patches import COMPUTED
 from atlasloom.operators import edits
 
-from .test_places import SNAPSHOT, P, square
+from .registry import ISLANDS, P, square
 
-ORGS = [{"resourceType": "Organization", "id": "o1", "name": "Clinic", "active": True}]
+ORGS = [{"resourceType": "Organization", "id": "firm", "name": "Firm", "active": True}]
 
 
 @pytest.fixture(scope="module")
 def base(spark):
     shape = "id string, text string, seq long"
-    return tuple(spark.createDataFrame([(r["id"], json.dumps(r), i) for i, r in enumerate(rows)], shape) for rows in (SNAPSHOT, ORGS))
+    return tuple(spark.createDataFrame([(r["id"], json.dumps(r), i) for i, r in enumerate(rows)], shape) for rows in (ISLANDS, ORGS))
 
 
 def changes(spark, base, features, organizations=True):
@@ -27,44 +27,44 @@ def changes(spark, base, features, organizations=True):
 
 
 def by_id(key):
-    return next(r for r in SNAPSHOT if r["id"] == key)
+    return next(r for r in ISLANDS if r["id"] == key)
 
 
 def test_no_edit_is_no_change(spark, base):
-    rows = [{"properties": {"id": r["id"], "name": r["name"], "admin1_name": "ignored", "alias": [], "description": ""}} for r in SNAPSHOT]
-    assert [c[:3] for c in changes(spark, base, rows)] == [("unchanged", None, None)] * len(SNAPSHOT)
+    rows = [{"properties": {"id": r["id"], "name": r["name"], "admin1_name": "ignored", "alias": [], "description": ""}} for r in ISLANDS]
+    assert [c[:3] for c in changes(spark, base, rows)] == [("unchanged", None, None)] * len(ISLANDS)
 
 
 def test_edits(spark, base):
     got = changes(spark, base, [
-        {"properties": {"id": "ng", "name": "Nigeria", "pcode": ""}}, {"properties": {"id": "clinic", "status": "inactive", "part_of": "kano", "position_longitude": "3.5"}}, {"properties": {"id": "kano"}, "geometry": square(3, 5, 9.00000001, 9)},
-        {"properties": {"id": "dup"}, "geometry": square(5, 5, 7, 6)}, {"properties": {"id": "nassarawa"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}, {"properties": {"id": "ng", "name": "again"}},
-        {"properties": {"name": "New", "type": "facility", "position_longitude": 1, "position_latitude": 2}}, {"properties": {"id": "stray", "position_latitude": None, "name": 5}}, {"properties": {"id": "orphan"}, "geometry": {"type": "Point", "coordinates": [4.5, 7, 9]}},
+        {"properties": {"id": "isl", "name": "Islands", "pcode": ""}}, {"properties": {"id": "ward", "status": "inactive", "part_of": "north", "position_longitude": "13.75"}}, {"properties": {"id": "north"}, "geometry": square(12, -4, 20.00000001, 4)},
+        {"properties": {"id": "reef"}, "geometry": square(16, 0, 19, 2)}, {"properties": {"id": "cove"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}, {"properties": {"id": "isl", "name": "again"}},
+        {"properties": {"name": "New", "type": "facility", "position_longitude": 1, "position_latitude": 2}}, {"properties": {"id": "lost", "position_latitude": None, "name": 5}}, {"properties": {"id": "waif"}, "geometry": {"type": "Point", "coordinates": [14.5, 1, 9]}},
     ])
-    assert got[0][1] == {k: v for k, v in by_id("ng").items() if k != "identifier"} | {"name": "Nigeria"}
-    assert got[1][1]["partOf"] == {"reference": "Location/kano"} and got[1][1]["position"] == {"longitude": 3.5, "latitude": 6.25}
+    assert got[0][1] == {k: v for k, v in by_id("isl").items() if k != "identifier"} | {"name": "Islands"}
+    assert got[1][1]["partOf"] == {"reference": "Location/north"} and got[1][1]["position"] == {"longitude": 13.75, "latitude": 0.6}
     assert got[1][2] == ORGS[0] | {"active": False}
     assert got[2][:2] == ("unchanged", None)
-    assert geo.parse_boundary(__import__("base64").b64decode(got[3][1]["extension"][0]["valueAttachment"]["data"]))[0][1][0][0][1] == (7.0, 5.0)
+    assert geo.parse_boundary(__import__("base64").b64decode(got[3][1]["extension"][0]["valueAttachment"]["data"]))[0][1][0][0][1] == (19.0, 0.0)
     assert got[4] == ("unchanged", None, None, ["geometry_kind_changed"])
     assert got[5][0] == "skipped" and got[5][3] == ["duplicate_id"]
     assert got[6][0] == "created" and got[6][2]["id"] == "org-" + got[6][1]["id"] and got[6][3] == ["new_location_generated_id"]
     assert got[7][3] == ["input_column_type", "input_column_type", "organization_missing"]
-    assert got[8][1]["position"] == {"longitude": 4.5, "latitude": 7.0} and got[8][3] == ["boundary_z_dropped"]
+    assert got[8][1]["position"] == {"longitude": 14.5, "latitude": 1.0} and got[8][3] == ["boundary_z_dropped"]
 
 
 def test_cells_are_backfilled_and_follow_the_position(spark, base):
     lines = base[0].select("seq", "text")
     done = edits.backfill_cells(lines, [("quadkey", 18), ("geohash", 4)]).collect()
-    assert {r["id"]: r["status"] for r in done}["clinic"] == "indexed" and {r["status"] for r in done} == {"indexed", "no_position"}
-    clinic = json.loads(next(r["text"] for r in done if r["id"] == "clinic"))
-    cells = [edits.patches.cell_of(e) for e in clinic["extension"]]
-    assert cells == [{"scheme": "quadkey", "level": 18, "cell": COMPUTED["quadkey"](3.25, 6.25, 18)}, {"scheme": "geohash", "level": 4, "cell": COMPUTED["geohash"](3.25, 6.25, 4)}]
-    again = edits.backfill_cells(spark.createDataFrame([(0, json.dumps(clinic))], "seq long, text string"), [("quadkey", 18)], refresh=True).first()
+    assert {r["id"]: r["status"] for r in done}["ward"] == "indexed" and {r["status"] for r in done} == {"indexed", "no_position"}
+    ward = json.loads(next(r["text"] for r in done if r["id"] == "ward"))
+    cells = [edits.patches.cell_of(e) for e in ward["extension"]]
+    assert cells == [{"scheme": "quadkey", "level": 18, "cell": COMPUTED["quadkey"](13.6, 0.6, 18)}, {"scheme": "geohash", "level": 4, "cell": COMPUTED["geohash"](13.6, 0.6, 4)}]
+    again = edits.backfill_cells(spark.createDataFrame([(0, json.dumps(ward))], "seq long, text string"), [("quadkey", 18)], refresh=True).first()
     assert again["status"] == "already_indexed"
-    moved = edits.patches.rebuild(clinic, {"position_longitude": 50.0, "position_latitude": 1.0}, None, Profile(), print)
+    moved = edits.patches.rebuild(ward, {"position_longitude": 50.0, "position_latitude": 1.0}, None, Profile(), print)
     assert edits.patches.cell_of(moved["extension"][1])["cell"] == COMPUTED["geohash"](50.0, 1.0, 4)
-    assert "extension" not in edits.patches.rebuild(clinic, {"position_longitude": None, "position_latitude": None}, None, Profile(), print)
+    assert "extension" not in edits.patches.rebuild(ward, {"position_longitude": None, "position_latitude": None}, None, Profile(), print)
 
 
 def test_known_cells():

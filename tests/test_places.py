@@ -1,76 +1,64 @@
-"""From document lines to a partitioned dataset: the twelve-line registry with a case in every line."""
+"""From document lines to a partitioned dataset, over a registry with a case in every line."""
 
-import base64
 import json
 
 import pyarrow.parquet as pq
 import pytest
 
 from atlasloom.functions import geometry as geo
-from atlasloom.functions.documents import Profile
 from atlasloom.operators import places
 from atlasloom.sources import files, geoparquet
 
-P = Profile()
-
-
-def square(x0, y0, x1, y1):
-    return {"type": "Polygon", "coordinates": [[[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]]]}
-
-
-def place(key, kind="admin-unit", up=None, pcode=None, at=None, shape=None, url=None, **more):
-    out = {"resourceType": "Location", "id": key, "name": key.title(), "type": [{"coding": [{"system": "s", "code": kind}]}]}
-    if up:
-        out["partOf"] = {"reference": f"Location/{up}"}
-    if pcode:
-        out["identifier"] = [{"system": P.identifier("pcode"), "value": pcode}]
-    if at:
-        out["position"] = {"longitude": at[0], "latitude": at[1]}
-    if shape or url:
-        own = {"contentType": "application/geo+json"} | ({"data": base64.b64encode(json.dumps(shape).encode()).decode()} if shape else {"url": url})
-        out["extension"] = [{"url": P.boundaries[0], "valueAttachment": own}]
-    return out | more
-
-
-SNAPSHOT = [
-    place("ng", pcode="NG", shape=square(2, 4, 14, 14)), place("kano", up="ng", pcode="NG001", shape=square(3, 5, 9, 9)), place("nassarawa", up="kano", pcode="NG001002", shape=square(3, 6, 4, 7)),
-    place("gama", "settlement", "nassarawa", at=(3.2, 6.2), shape=square(3.1, 6.1, 3.3, 6.3)), place("clinic", "facility", "gama", at=(3.25, 6.25), managingOrganization={"reference": "Organization/o1"}),
-    place("stray", "facility", "nassarawa", at=(50, 50), managingOrganization={"reference": "Organization/gone"}), place("remote", "operational-area", "kano", url="https://registry.example.org/b"), place("ghost", up="kano", pcode="NG001003"),
-    place("orphan", "facility", "does-not-exist", at=(4.0, 7.0)), place("dup", up="kano", pcode="NG001002", shape=square(5, 5, 6, 6)), place("cyc-a", up="cyc-b", at=(5.0, 8.0)), place("cyc-b", up="cyc-a", at=(5.1, 8.1)),
-]
+from .registry import COUNTS, ISLANDS, P, square
 
 
 @pytest.fixture(scope="module")
 def flat(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("snapshot") / "locations.ndjson"
-    path.write_text("﻿" + "\n\n".join(json.dumps(r) for r in SNAPSHOT) + "\n")
+    path.write_text("﻿" + "\n\n".join(json.dumps(r) for r in ISLANDS) + "\n")
     return places.flatten(files.read_lines(spark, str(path)))
 
 
 def test_registry(spark, flat, tmp_path):
     rows, issues = places.located(flat)
     got = {r["id"]: r for r in rows.collect()}
-    assert set(got) == {"clinic", "stray", "ng", "kano", "dup", "gama", "nassarawa", "orphan"}
-    counts = {r["kind"]: r["n"] for r in issues.groupBy("kind").count().withColumnRenamed("count", "n").collect()}
-    assert counts == {"no_country": 1, "boundary_unresolved_url": 1, "duplicate_pcode": 1, "cycle": 2, "orphan": 1, "no_geometry": 2}
-    clinic = got["clinic"]
-    assert (clinic["admin1_name"], clinic["admin2_name"], clinic["country"], clinic["tier"], clinic["depth"]) == ("Kano", "Nassarawa", "NG", "site", 4)
-    assert clinic["path"] == "/ng/kano/nassarawa/gama/clinic"
-    assert got["orphan"]["country"] == "unknown" and got["dup"]["admin_level"] == 2
-    assert "extension" not in json.loads(got["ng"]["fhir_json"])
-    assert [r["location_id"] for r in places.outside_parent(rows).collect()] == ["stray"]
+    assert set(got) == {"isl", "north", "cove", "reef", "quay", "ward", "lost", "waif"}
+    assert {r["kind"]: r["n"] for r in issues.groupBy("kind").count().withColumnRenamed("count", "n").collect()} == COUNTS
+    assert [r["detail"] for r in issues.where("kind = 'duplicate_pcode'").collect()] == ["cove, reef"]
+    ward = got["ward"]
+    assert (ward["admin1_name"], ward["admin2_name"], ward["country"], ward["tier"], ward["depth"]) == ("The north", "The cove", "IS", "site", 4)
+    assert ward["path"] == "/isl/north/cove/quay/ward"
+    assert got["waif"]["country"] == "unknown" and got["reef"]["admin_level"] == 2
+    assert "extension" not in json.loads(got["isl"]["fhir_json"])
+    assert [r["location_id"] for r in places.outside_parent(rows).collect()] == ["lost"]
     out = str(tmp_path / "out")
     for _ in range(2):  # a second run replaces the first
         manifest = geoparquet.write(rows.drop("chain", "seq"), out)
-    assert sorted(m["folder"] for m in manifest[:-1]) == ["country=NG/geom_type=point/type=facility", "country=NG/geom_type=polygon/type=admin-unit", "country=NG/geom_type=polygon/type=settlement", "country=unknown/geom_type=point/type=facility"]
+    assert [m["folder"] for m in manifest[:-1]] == ["country=IS/geom_type=point/type=facility", "country=IS/geom_type=polygon/type=admin-unit", "country=IS/geom_type=polygon/type=settlement", "country=unknown/geom_type=point/type=facility"]
     back = geoparquet.read(spark, out)
-    assert back.count() == 8 and back.where("id = 'clinic' and country = 'NG'").count() == 1
-    meta = json.loads(pq.read_metadata(f"{out}/country=NG/geom_type=polygon/type=admin-unit/part-0.parquet").metadata[b"geo"])
-    assert meta["columns"]["geometry"]["bbox"] == [2, 4, 14, 14] and meta["columns"]["geometry"]["geometry_types"] == ["Polygon"]
+    assert back.count() == 8 and back.where("id = 'ward' and country = 'IS'").count() == 1
+    meta = json.loads(pq.read_metadata(f"{out}/country=IS/geom_type=polygon/type=admin-unit/part-0.parquet").metadata[b"geo"])
+    assert meta["columns"]["geometry"]["bbox"] == [10, -10, 30, 10] and meta["columns"]["geometry"]["geometry_types"] == ["Polygon"]
     seen = geoparquet.inspect(spark, out).collect()
     assert sum(r["rows"] for r in seen) == 8 and [r["file"] for r in seen] == geoparquet.files(out)
 
 
+def test_files_hold_stretches_of_the_curve(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(geoparquet, "ROWS_IN_FILE", 100)
+    box = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
+    rows = spark.range(600).selectExpr("cast(id as string) as id", "if(id < 550, 'a', 'b') as country", "'point' as geom_type", "'t' as type", "cast(pmod(id * 7919, 65536) as bigint) as hilbert", f"cast(named_struct('xmin', id, 'ymin', id, 'xmax', id, 'ymax', id) as {box}) as bbox", "unhex('0101000000') as geometry")
+    manifest = geoparquet.write(rows, str(tmp_path / "d"), rows_in_group=40)[:-1]
+    assert sum(m["rows"] for m in manifest) == 600 and {m["folder"] for m in manifest} == {"country=a/geom_type=point/type=t", "country=b/geom_type=point/type=t"}
+    spans = []
+    for m in manifest:
+        file = pq.ParquetFile(f"{tmp_path}/d/{m['folder']}/part-{m['file']}.parquet")
+        keys = file.read(["hilbert"]).column(0).to_pylist()
+        assert keys == sorted(keys) and all(file.metadata.row_group(i).num_rows == 40 for i in range(file.metadata.num_row_groups - 1))
+        spans.append((m["folder"], keys[0], keys[-1]))
+    own = sorted(s for s in spans if "country=a" in s[0])
+    assert 4 <= len(own) <= 9 and all(a[2] <= b[1] for a, b in zip(own[:-1], own[1:], strict=True))
+
+
 def test_given_country(flat):
     rows, issues = places.located(flat, country="XX")
     assert {r["country"] for r in rows.collect()} == {"XX"}
@@ -78,11 +66,11 @@ def test_given_country(flat):
 
 
 def test_organizations(spark, flat):
-    lines = [{"resourceType": "Organization", "id": "o1", "name": "Other", "identifier": [{"system": P.identifier("nhfr-code"), "value": "7"}], "type": [{"coding": [{"system": P.codes("ownership"), "code": "p"}], "text": "Public"}]}, {"resourceType": "Organization", "id": "o1", "name": "Later"}, {"id": 3}]
+    lines = [{"resourceType": "Organization", "id": "firm", "name": "Other", "identifier": [{"system": P.identifier("nhfr-code"), "value": "7"}], "type": [{"coding": [{"system": P.codes("ownership"), "code": "p"}], "text": "Public"}]}, {"resourceType": "Organization", "id": "firm", "name": "Later"}, {"id": 3}]
     orgs = places.flatten_organizations(spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(lines)], "seq long, text string"))
     rows, issues = places.with_organizations(places.located(flat)[0], orgs)
-    assert {(r["kind"], r["location_id"]) for r in issues.collect()} == {("organization_name_mismatch", "clinic"), ("organization_missing", "stray")}
-    assert rows.where("id = 'clinic'").select("nhfr_code", "ownership_text").first() == ("7", "Public")
+    assert {(r["kind"], r["location_id"]) for r in issues.collect()} == {("organization_name_mismatch", "ward"), ("organization_missing", "lost")}
+    assert rows.where("id = 'ward'").select("nhfr_code", "ownership_text").first() == ("7", "Public")
 
 
 def test_unusable_lines(spark):
@@ -132,21 +120,42 @@ def test_geometry():
     assert geo.invalid(("polygon", [[[(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]]])) == "ring crosses itself"
     assert geo.invalid(("polygon", [[[(0, 0), (1, 1), (0, 0)]]])) and geo.invalid(("polygon", [[[(0, 0), (1, 1), (0, 0), (0, 0)]]]))
     left, right = (geo.from_geojson(square(x, 0, x + 1, 1))[0] for x in (0, 1))
-    union = geo.union_of_coverage([left, right])
-    assert union[0] == "polygon" and geo.signed_area(union[1][0][0]) == 2
-    assert geo.union_of_coverage([left, geo.from_geojson(square(5, 5, 6, 6))[0]])[0] == "multipolygon"
+    both = geo.union([left, right])
+    assert both[0] == "polygon" and geo.signed_area(both[1][0][0]) == 2
+    assert geo.union([left, geo.from_geojson(square(5, 5, 6, 6))[0]])[0] == "multipolygon"
     assert geo.rounded(("point", (0.12345675, -0.12345675)))[1] == (0.1234568, -0.1234568)
     assert geo.zonal_spans(geo.edges(left), 0.5, -0.5, 0.5, 10) == [(1, 2)]
     wide, issues = geo.parse_boundary(json.dumps({"type": "FeatureCollection", "features": [{"geometry": square(0, 0, 1, 1)}, {"geometry": {"type": "Point", "coordinates": [1, 2, 3]}}]}).encode())
     assert wide[0] == "multipolygon" and [k for k, _ in issues] == ["boundary_multi_feature", "boundary_z_dropped", "boundary_part_dropped"]
 
 
-def test_validity_of_a_large_ring_is_quick():
+def area(shape):
+    return 0 if shape is None else sum(geo.signed_area(ring) for polygon in shape[1] for ring in polygon)
+
+
+def boxes(*bounds):
+    return [geo.from_geojson(square(*b))[0] for b in bounds]
+
+
+def test_unions_and_repairs():
+    assert area(geo.union(boxes((0, 0, 4, 4), (2, 2, 6, 6)))) == pytest.approx(28)
+    assert area(geo.union(boxes((0, 0, 4, 4), (1, 1, 2, 2)))) == 16 and area(geo.union(boxes((0, 0, 4, 4), (4, 1, 6, 2)))) == pytest.approx(18)
+    ringed = geo.union(boxes((0, 0, 6, 1), (0, 5, 6, 6), (0, 0, 1, 6), (5, 0, 6, 6)))
+    assert ringed[0] == "polygon" and len(ringed[1][0]) == 2 and area(ringed) == pytest.approx(20)
+    assert geo.union([]) is None and area(geo.union(boxes((0, 0, 1, 1), (0, 0, 1, 1)))) == 1
+    bow = ("polygon", [[[(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0), (0.0, 0.0)]]])
+    mended = geo.repaired(bow)
+    assert geo.invalid(bow) and geo.invalid(mended) is None and mended[0] == "multipolygon" and area(mended) == pytest.approx(2)
+
+
+def test_validity_of_large_rings_is_quick():
     import math
     import time
 
-    n = 20_000
-    ring = [(math.cos(2 * math.pi * i / n), math.sin(2 * math.pi * i / n)) for i in range(n)]
-    t = time.time()
-    assert geo.invalid(("polygon", [[[*ring, ring[0]]]])) is None
-    assert time.time() - t < 5
+    for n, turn in ((20_000, 2 * math.pi), (40_000, math.pi)):  # a circle, and half a disc with its long straight side
+        ring = [(math.cos(0.3 + turn * i / n), math.sin(0.3 + turn * i / n)) for i in range(n)]
+        crossed = [*ring[: n // 2], (0.9, 0.9), (-2.0, -2.0), *ring[n // 2 :]]
+        t = time.time()
+        assert geo.invalid(("polygon", [[[*ring, ring[0]]]])) is None
+        assert time.time() - t < 2
+        assert geo.invalid(("polygon", [[[*crossed, crossed[0]]]])) == "ring crosses itself"

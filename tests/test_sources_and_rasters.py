@@ -98,29 +98,34 @@ def test_loading_in_order(server):
 
 
 def test_raster_sums(spark, tmp_path):
-    values = (np.arange(30)[:, None] * 100 + np.arange(40) + 1).astype(np.float32)
-    for r, c in ((0, 0), (5, 5), (29, 39)):
-        values[r, c] = -99
+    rows, columns = 24, 36
+    values = ((np.arange(rows)[:, None] * 37 + np.arange(columns) * 11) % 101 - 4).astype(np.float32)  # some are negative
+    holes = np.zeros((rows, columns), bool)
+    holes[[2, 11, 23], [35, 0, 17]] = True
+    values[holes] = -77
     path = str(tmp_path / "r.tif")
-    geotiff.write_grid(path, values, 3.0, 7.0, 0.1, -99)
+    geotiff.write_grid(path, values, -4.0, 3.0, 0.25, -77, tile=16)
     grid, tiles = geotiff.read_grid(path), geotiff.tiles(spark, path)
-    assert (grid.width, grid.height, grid.nodata, grid.tile) == (40, 30, -99, (16, 16))
-    assert tuple(raster.grand_total(tiles, grid.nodata).first()) == (1761153.0, 1197)
+    assert (grid.width, grid.height, grid.nodata, grid.tile) == (columns, rows, -77, (16, 16))
+    counted = np.where(holes, 0, np.maximum(values, 0)).astype(float)
+    assert tuple(raster.grand_total(tiles, grid.nodata).first()) == (counted.sum(), rows * columns - 3)
 
     def box(key, x0, y0, x1, y1):
         shape = ("polygon", [[[(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]]])
         return key, geo.to_wkb(shape), dict(zip(("xmin", "ymin", "xmax", "ymax"), map(float, geo.bbox(shape)), strict=True))
 
-    polygons = spark.createDataFrame([box("west", 3.0, 4.0, 5.0, 7.0), box("east", 5.0, 4.0, 7.0, 7.0), box("far", 50.0, 4.0, 51.0, 5.0)], "id string, geometry binary, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    # columns 0 to 13 and 14 to 35 over all rows; an edge through the middle of a pixel gives it to the east
+    polygons = spark.createDataFrame([box("left", -4.0, -3.0, -0.375, 3.0), box("right", -0.375, -3.0, 5.0, 3.0), box("away", 90.0, 4.0, 91.0, 5.0)], "id string, geometry binary, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>")
     sums = raster.polygon_sums(tiles, polygons, grid)
-    assert {r["id"]: r["total"] for r in sums.collect()} == {"west": 875793.0, "east": 885360.0}
-    above = spark.createDataFrame([("west", "c"), ("east", "c"), ("far", "c")], "id string, ancestor string")
+    left, right = counted[:, :14].sum(), counted[:, 14:].sum()
+    assert {r["id"]: r["total"] for r in sums.collect()} == {"left": left, "right": right}
+    above = spark.createDataFrame([("left", "top"), ("right", "top"), ("away", "top")], "id string, ancestor string")
     rolled = raster.roll_up(polygons.select("id").join(sums, "id", "left"), above)
-    assert {r["id"]: (r["quantity"], r["incomplete"]) for r in rolled.collect()}["c"] == (1761153, True)
+    assert {r["id"]: (r["quantity"], r["incomplete"]) for r in rolled.collect()}["top"] == (int(left + right), True)
     groups, issues = builders.population_groups(rolled, "src", 2025)
-    assert {r["id"] for r in groups.collect()} == {"src-west-2025", "src-east-2025", "src-c-2025"}
-    assert json.loads(groups.where("id = 'src-c-2025'").first()["json"])["quantity"] == 1761153
-    assert {(r["kind"], r["location_id"]) for r in issues.collect()} == {("no_boundary", "far"), ("rollup_incomplete", "c")}
+    assert {r["id"] for r in groups.collect()} == {"src-left-2025", "src-right-2025", "src-top-2025"}
+    assert json.loads(groups.where("id = 'src-top-2025'").first()["json"])["quantity"] == int(left + right)
+    assert {(r["kind"], r["location_id"]) for r in issues.collect()} == {("no_boundary", "away"), ("rollup_incomplete", "top")}
     (tmp_path / "x.tif").write_bytes(b"nothing")
     with pytest.raises(ValueError):
         geotiff.read_grid(str(tmp_path / "x.tif"))
@@ -140,13 +145,14 @@ def test_builders(spark):
 
 def test_periods(spark):
     table = {
-        "2025": ("2025-01-01", "2025-12-31"), "202502": ("2025-02-01", "2025-02-28"), "202402": ("2024-02-01", "2024-02-29"), "20250105": ("2025-01-05", "2025-01-05"), "202502B": ("2025-03-01", "2025-04-30"), "2025Q4": ("2025-10-01", "2025-12-31"), "2025S2": ("2025-07-01", "2025-12-31"), "2025W1": ("2024-12-30", "2025-01-05"), "2026W53": ("2026-12-28", "2027-01-03"),
-    } | dict.fromkeys(["2025W53", "LAST_12_MONTHS", "2025April", "2025BiW1", "2025WedW1", "202513", "20250230", "2025Q5", ""], (None, None))
+        "2019": ("2019-01-01", "2019-12-31"), "202311": ("2023-11-01", "2023-11-30"), "200002": ("2000-02-01", "2000-02-29"), "20240229": ("2024-02-29", "2024-02-29"), "202306B": ("2023-11-01", "2023-12-31"), "2024Q3": ("2024-07-01", "2024-09-30"),
+        "2022S1": ("2022-01-01", "2022-06-30"), "2021W1": ("2021-01-04", "2021-01-10"), "2020W53": ("2020-12-28", "2021-01-03"), "2024W9": ("2024-02-26", "2024-03-03"),
+    } | dict.fromkeys(["2024W53", "THIS_YEAR", "2024July", "2023BiW2", "2023SunW3", "202300", "20230229", "2024Q0", "202307B", ""], (None, None))
     from pyspark.sql import functions as F
 
     got = spark.createDataFrame([(c,) for c in table], "c string").select("c", periods.period_start(F.col("c")).cast("string"), periods.period_end(F.col("c")).cast("string"), periods.period_kind(F.col("c")))
     assert {r[0]: (r[1], r[2]) for r in got.collect()} == table
-    assert {r[0]: r[3] for r in got.collect()}["2025W1"] == "4W#"
+    assert {r[0]: r[3] for r in got.collect()}["2021W1"] == "4W#"
     assert periods.parse_age("2w") == 1209600 and periods.parse_range("2025-01-01..2025-01-31") == ("2025-01-01", "2025-01-31")
 
 
@@ -168,18 +174,20 @@ def test_expressions(spark):
             expressions.parse(bad)
 
 
-def test_indicator_fixture(spark):
-    raw = [("D", "20250105", "F0", "fixed", 3), ("D", "20250120", "F0", "outreach", 2), ("D", "202501", "F1", "fixed", 4), ("D", "20250210", "F2", "outreach", 6), ("D", "20250301", "F0", "fixed", 100)]
-    raw += [("P", p, f"F{i}", "x", v) for p in ("202501", "202502") for i, v in enumerate((10, 10, 20, 20))]
+def test_indicators_over_levels(spark):
+    """Two wards in the west and one in the east; beds are averaged over a unit's days, visits are summed."""
+    raw = [("V", "20240301", "w1", "day", 6), ("V", "20240331", "w1", "night", 3), ("V", "202403", "w2", "day", 1), ("V", "20240415", "e1", "night", 8), ("V", "20240501", "w1", "day", 70)]
+    raw += [("B", p, u, "all", v) for u, a, b in (("w1", 4, 8), ("w2", 12, 6), ("e1", 16, 16)) for p, v in (("20240310", a), ("20240320", b), ("20240410", b))]
     from pyspark.sql import functions as F
 
     values = spark.createDataFrame(raw, "element string, period string, unit string, option string, value long").withColumns({"attribute": F.lit("x"), "start": periods.period_start(F.col("period")), "end": periods.period_end(F.col("period"))})
-    targets = spark.createDataFrame([("202501", 0), ("202502", 1)], "target string, place int").withColumns({"t_start": periods.period_start(F.col("target")), "t_end": periods.period_end(F.col("target"))})
-    up = {"F0": "D1", "F1": "D1", "F2": "D2", "F3": "D2"}
-    above = spark.createDataFrame([(u, *x) for u, d in up.items() for x in ((u, 3), (d, 2), ("C", 1))], "unit string, level_unit string, level int")
-    levels = facts.by_level(facts.by_unit(facts.to_targets(values, targets), ["P"]), above)
-    got = {(r["target"], r["level_unit"]): r["value"] for r in facts.indicator(levels, "#{D}", "#{P}", 100.0).collect()}
-    assert got == {("202501", "F0"): 50, ("202501", "F1"): 40, ("202502", "F2"): 30, ("202501", "D1"): 45, ("202502", "D2"): 15, ("202501", "C"): 15, ("202502", "C"): 10}
+    targets = spark.createDataFrame([("202403", 0), ("202404", 1)], "target string, place int").withColumns({"t_start": periods.period_start(F.col("target")), "t_end": periods.period_end(F.col("target"))})
+    up = {"w1": "west", "w2": "west", "e1": "east"}
+    above = spark.createDataFrame([(u, *x) for u, d in up.items() for x in ((u, 3), (d, 2), ("all", 1))], "unit string, level_unit string, level int")
+    levels = facts.by_level(facts.by_unit(facts.to_targets(values, targets), ["B"]), above)
+    got = {(r["target"], r["level_unit"]): r["value"] for r in facts.indicator(levels, "#{V}", "#{B}", 30.0).collect()}
+    # beds in March: w1 6, w2 9, e1 16; in April 8, 6 and 16
+    assert got == {("202403", "w1"): 45, ("202403", "w2"): pytest.approx(10 / 3), ("202403", "west"): 20, ("202403", "all"): pytest.approx(300 / 31), ("202404", "e1"): 15, ("202404", "east"): 15, ("202404", "all"): 8}
 
 
 def test_minted_hierarchy(spark):
@@ -187,6 +195,13 @@ def test_minted_hierarchy(spark):
     units = bake.mint(rows, ["a", "b"])
     assert {r["id"] for r in units.collect()} == {"cote-d-or", "cote-d-or-a-b"}
     assert [r["id"] for r in bake.collisions(units).collect()] == ["cote-d-or-a-b"]
+    from pyspark.sql import functions as F
+
+    from atlasloom.functions.scalars import slugify
+
+    names = {"Ẹdẹ Ọ̀ṣun": "ede-osun", "Şanlıurfa": "sanlurfa", "ﬁne ½ Nº①": "fine-12-no1", "Ｆｕｌｌ　Ｗｉｄｔｈ": "full-width", "O’Neil": "oneil", "東京 City": "city", "Łódź": "odz", "  --  ": "", "İzmir": "izmir", "ǅep": "dzep", "A\\E": "a-e"}
+    got = spark.createDataFrame([(x,) for x in names], "x string").select("x", slugify(F.col("x"))).collect()
+    assert {r[0]: r[1] for r in got} == names
 
 
 def test_stream_merges_into_the_snapshot(spark, tmp_path):
