@@ -77,7 +77,8 @@ def test_groups_equal_brute_force(spark, monkeypatch, short, light, often, hot):
     monkeypatch.setattr(jaccard, "SHORT", short)
     monkeypatch.setattr(jaccard, "COMMON", often)
     monkeypatch.setattr(common, "LEAST_HOT", hot)
-    if hot < 1000:  # an order cut short, a bit table that is nearly full, keys combined in many parts
+    if hot < 1000:  # components by joins, an order cut short, a bit table that is nearly full, keys combined in many parts
+        monkeypatch.setattr(components, "PER_TASK", 50)
         monkeypatch.setattr(common, "HOT_KEYS", 10**6)
         monkeypatch.setattr(jaccard, "ORDERED", 7)
         monkeypatch.setattr(jaccard, "TABLE_BITS", 1 << 16)
@@ -138,9 +139,10 @@ def test_boundary_takes_the_cheaper_side():
     assert jaccard.boundary({12: 10**6, 11: 10**6}) < 12
 
 
-@pytest.mark.parametrize("hot", [1000, 3])
-def test_components_of_long_chains_and_stars(spark, tmp_path, monkeypatch, hot):
-    monkeypatch.setattr(common, "LEAST_HOT", hot)
+@pytest.mark.parametrize("share", [1 << 19, 40])
+def test_components_of_long_chains_and_stars(spark, tmp_path, monkeypatch, share):
+    monkeypatch.setattr(components, "PER_TASK", share)  # one task, or rounds of joins with hot nodes
+    monkeypatch.setattr(common, "LEAST_HOT", 3)
     monkeypatch.setattr(common, "HOT_KEYS", 10**6)
     links = [(i, i + 1) for i in range(200)] + [(500, 500 + i) for i in range(1, 60)] + [(900, 901), (901, 900), (902, 902)]
     random.Random(1).shuffle(links)
