@@ -39,9 +39,12 @@ def resolve(records: DataFrame) -> DataFrame:
     """records: id, part_of, type, name, pcode, seq and more. Adds parent (null for roots and orphans), dropped
     (cycle, unreachable_ancestor, too_deep or null), chain (ancestors, nearest first: id, admin, name, pcode)."""
     path = folder(records.sparkSession)
-    first = first_of_each(records)
+    # ids that occur once, which are nearly all, need no look at their order
+    twice = written(records.where("id is not null").groupBy("id").agg(F.count("*").alias("_n")).where("_n > 1").select("id"), f"{path}/twice")
+    first = records.where("id is not null").join(twice, "id", "left_anti").unionByName(first_of_each(records.join(twice, "id", "left_semi")))
     known = first.select(F.col("id").alias("_id"))
     linked = first.join(known, F.col("part_of") == F.col("_id"), "left").withColumnRenamed("_id", "parent")
+    linked = written(linked, f"{path}/linked")
     inner = linked.join(linked.where("parent is not null").select(F.col("parent").alias("_p")).distinct(), F.col("id") == F.col("_p"), "left_semi")
     inner = written(inner.select("id", "parent", (F.col("type") == ADMIN).alias("admin"), "name", "pcode"), f"{path}/inner")
     own = inner.select(F.col("id").alias("_i"), F.struct("id", "admin", "name", "pcode").alias("_own"), F.col("parent").alias("_top"))
@@ -60,7 +63,7 @@ def resolve(records: DataFrame) -> DataFrame:
         place = place.withColumn("_own", F.lit(None).cast("string"))
     dropped = F.when(F.col("parent").isNull(), None).when(F.col("_own").isNotNull(), F.col("_own")).when(F.col("_fate").isNotNull(), "unreachable_ancestor").when(F.size("chain") >= MAX_DEPTH, "too_deep")
     chain = F.coalesce("chain", F.array().cast(CHAIN))
-    return place.select(*first.columns, "parent", dropped.alias("dropped"), chain.alias("chain"))
+    return written(place.select(*first.columns, "parent", dropped.alias("dropped"), chain.alias("chain")), f"{path}/resolved")
 
 
 def _spread(pointer: str, key: str):

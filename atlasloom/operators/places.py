@@ -145,12 +145,15 @@ CHUNK = 10_000
 def outside_parent(rows: DataFrame) -> DataFrame:
     """(kind, location_id, detail) of places whose point lies outside their nearest ancestor with a polygon.
 
-    Points travel to their polygon in chunks of about CHUNK, several for a polygon with many, so each polygon is
-    decoded once per chunk and no task gathers all points of one polygon.
+    Places below one parent have one such ancestor, so it is looked for once a parent. Points travel to their polygon in
+    chunks of about CHUNK, several for a polygon with many, so each polygon is decoded once per chunk and no task
+    gathers all points of one polygon.
     """
     polygons = rows.where("geom_type = 'polygon'").select(F.col("id").alias("polygon"), F.col("geometry").alias("wkb"))
-    up = rows.where("lon is not null").select("id", "lon", "lat", F.posexplode(F.transform("chain", lambda n: n["id"])).alias("far", "polygon"))
-    near = up.join(polygons.select("polygon"), "polygon", "left_semi").groupBy("id").agg(F.min_by(F.struct("polygon", "lon", "lat"), "far").alias("p")).select("id", "p.*")
+    parents = rows.where("lon is not null and size(chain) > 0").groupBy(F.get("chain", F.lit(0))["id"].alias("up")).agg(F.any_value(F.transform("chain", lambda n: n["id"])).alias("line"))
+    parents = parents.select("up", F.posexplode("line").alias("far", "polygon")).join(polygons.select("polygon"), "polygon", "left_semi")
+    parents = parents.groupBy("up").agg(F.min(F.struct("far", "polygon"))["polygon"].alias("polygon"))
+    near = rows.where("lon is not null and size(chain) > 0").select("id", "lon", "lat", F.get("chain", F.lit(0))["id"].alias("up")).join(parents, "up").drop("up")
     sizes = near.groupBy("polygon").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     dealt = near.join(sizes, "polygon").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
     chunks = dealt.groupBy("polygon", "chunk").agg(F.collect_list(F.struct("id", "lon", "lat")).alias("points"))

@@ -25,8 +25,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions.scalars import path_segment
 
 KEYS, ROWS_IN_GROUP = ("country", "geom_type", "type"), 20_000
-#: Rows, and bytes of geometry and documents before compression, that a file holds about.
-ROWS_IN_FILE, BYTES_IN_FILE = 200_000, 256 << 20
+#: Rows, and bytes of geometry and documents before compression, that a file holds at most (about), and rows for which another core is put to work.
+ROWS_IN_FILE, BYTES_IN_FILE, ROWS_FOR_CORE = 400_000, 256 << 20, 20_000
 
 
 def geo_footer(box: list[float] | None, kinds: list[str]) -> bytes:
@@ -67,7 +67,8 @@ def write(rows: DataFrame, out: str, keys: tuple[str, ...] = KEYS, rows_in_group
     counts = shown.groupBy(*names).agg(F.count("*").alias("_n"), size.alias("_bytes")).withColumns({f"_s{i}": path_segment(F.col(n)) for i, n in enumerate(names)})
     listed = counts.orderBy(*names).collect()
     folders, issues = place_folders([tuple((r[n], r[f"_s{i}"]) for i, n in enumerate(names)) for r in listed], list(keys))
-    files = max(1, -(-sum(r["_n"] for r in listed) // ROWS_IN_FILE), -(-sum(r["_bytes"] for r in listed) // BYTES_IN_FILE))
+    total = sum(r["_n"] for r in listed)
+    files = max(1, -(-total // ROWS_IN_FILE), -(-sum(r["_bytes"] for r in listed) // BYTES_IN_FILE), min(total // ROWS_FOR_CORE, rows.sparkSession.sparkContext.defaultParallelism))
     by = [*names, F.col(order).asc_nulls_last(), tie]
     dealt = (shown.repartitionByRange(files, *by) if files > 1 else shown.coalesce(1)).sortWithinPartitions(*by)
     layout = [f for f in to_arrow_schema(rows.schema)]
