@@ -77,7 +77,7 @@ LICENCES = _licences()
 
 URL_FILTERS = r"""
 WITH u AS (SELECT page_id, lower(url) AS url, DATE '2024-01-01' + (page_id % 366)::INTEGER AS fetched FROM pages),
-h AS (SELECT *, nullif(regexp_extract(url, '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '') AS host,
+h AS (SELECT *, nullif(regexp_extract(url, '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]+)', 1), '') AS host,
              nullif(regexp_extract(url, '^[a-z][a-z0-9+.\-]*://[^/?#]*(/[^/?#]*)', 1), '') AS path FROM u),
 c AS (SELECT *, nullif(regexp_extract(host, '((?:[^.]+\.){0,2}[^.]+)$', 1), '') AS site, host || path AS prefix FROM h),
 keys AS (SELECT DISTINCT scope, pattern FROM (SELECT 'host' AS scope, host AS pattern FROM c UNION ALL SELECT 'site', site FROM c

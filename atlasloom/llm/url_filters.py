@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCOPES = ("host", "site", "prefix")
-HOST = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+HOST = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]+)"
 PATH = r"^[a-z][a-z0-9+.\-]*://[^/?#]*(/[^/?#]*)"
 PATHS = r"^[a-z][a-z0-9+.\-]*://[^/?#]*(/[^?#]*)"
 SITE = r"((?:[^.]+\.){0,2}[^.]+)$"
