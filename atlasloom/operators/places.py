@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import geometry as geo
-from ..functions.cells import hilbert_key
+from ..functions.cells import hilbert_keys
 from ..functions.documents import Profile, parse_location, parse_organization
 from ..workspace import written
 from . import hierarchy
@@ -23,7 +23,7 @@ from .reports import duplicate_codes
 _TEXT = "version_id last_updated name status description type physical_type part_of managing_organization pcode gers_id settlement_type delivery_strategy facility_level ownership".split()
 _IDENTIFIER = "array<struct<system:string,value:string>>"
 _ISSUES = "array<struct<kind:string,location_id:string,detail:string>>"
-_PLACE = f"id string, {', '.join(f'{c} string' for c in _TEXT)}, alias array<string>, identifier {_IDENTIFIER}, position_longitude double, position_latitude double, overlays_admin_unit_ids array<string>, cells array<struct<scheme:string,level:int,cell:string>>, boundary_url string, geom_type string, lon double, lat double, geometry binary, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>, fhir_json string, issues {_ISSUES}"
+_PLACE = f"id string, {', '.join(f'{c} string' for c in _TEXT)}, alias array<string>, identifier {_IDENTIFIER}, position_longitude double, position_latitude double, overlays_admin_unit_ids array<string>, cells array<struct<scheme:string,level:int,cell:string>>, boundary_url string, geom_type string, lon double, lat double, geometry binary, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>, hilbert long, fhir_json string, issues {_ISSUES}"
 _ORGANIZATION = f"id string, name string, version_id string, last_updated string, identifier {_IDENTIFIER}, nhfr_code string, nhfr_uid string, facility_level string, ownership string, facility_level_text string, ownership_text string, fhir_json string, issues {_ISSUES}"
 
 
@@ -82,6 +82,8 @@ def _parsed(lines: DataFrame, columns: str, read) -> DataFrame:
                 for c, append in put:
                     append(get(c))
                 issues.append(found)
+            if "hilbert" in columns:
+                columns["hilbert"] = hilbert_keys([b and (b["xmin"] + b["xmax"]) / 2 for b in columns["bbox"]], [b and (b["ymin"] + b["ymax"]) / 2 for b in columns["bbox"]])
             body = [pa.array(columns[c], arrow.field(c).type) for c in names]
             yield pa.RecordBatch.from_arrays([batch.column("seq"), *body, pa.array(issues, arrow.field("issues").type)], names=arrow.names)
 
@@ -118,8 +120,6 @@ def located(flat: DataFrame, country: str | None = None, keep_without_geometry:
     rows = records.drop("issues").join(own, (F.col("id") == F.col("_id")) & (F.col("seq") == F.col("_seq"))).drop("_id", "_seq")
     if not keep_without_geometry:
         rows = rows.where("geom_type is not null")
-    middle = [(F.col("bbox.xmin") + F.col("bbox.xmax")) / 2, (F.col("bbox.ymin") + F.col("bbox.ymax")) / 2]
-    rows = rows.withColumn("hilbert", hilbert_key(*middle))
     deepest = F.get(F.reverse(F.array_sort(F.transform(F.filter("cells", lambda c: c["scheme"] == "quadkey"), lambda c, i: F.struct(c["level"], i, c["cell"].alias("cell"))))), F.lit(0))
     rows = rows.withColumns({"quadkey": F.when(F.col("geom_type").isNotNull(), deepest["cell"]), "quadkey_level": F.when(F.col("geom_type").isNotNull(), deepest["level"])})
     rows = written(rows, path) if path else rows

@@ -86,3 +86,9 @@ def grand_total(tiles: DataFrame, nodata: float | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([float(np.maximum(x, 0).sum()) for x in good], pa.float64()), pa.array([len(x) for x in good], pa.int64())], names=["total", "pixels"])
 
     return tiles.select("data").mapInArrow(run, "total double, pixels long").agg(F.sum("total").alias("total"), F.sum("pixels").alias("pixels"))
+
+
+def assigned_share(sums: DataFrame, total: DataFrame) -> DataFrame:
+    """One row: the percentage of a raster's total that the polygons' sums hold, with two decimals."""
+    both = sums.agg(F.sum("total").alias("_sum")).crossJoin(total.select("total"))  # two single rows
+    return both.select(F.round(100 * F.try_divide(F.coalesce("_sum", F.lit(0.0)), F.col("total")), 2).alias("assigned"))

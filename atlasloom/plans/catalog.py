@@ -538,3 +538,6 @@ SELECT part_of AS id, count(*)::BIGINT AS n FROM leaf GROUP BY part_of""")
 def q_admin_ancestors(spark, sf_dir):
     rows = hierarchy.admin_ancestors(hierarchy.resolve(views.locs(spark, sf_dir)).where("type = 'admin-unit'"))
     return rows.where("distance = 0").groupBy(F.col("ancestor").alias("id")).agg(F.count("*").alias("n"))
+
+
+from . import catalog_documents, catalog_places  # noqa: E402, F401  (they register their queries here)

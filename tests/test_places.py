@@ -159,3 +159,14 @@ def test_validity_of_large_rings_is_quick():
         assert geo.invalid(("polygon", [[[*ring, ring[0]]]])) is None
         assert time.time() - t < 2
         assert geo.invalid(("polygon", [[[*crossed, crossed[0]]]])) == "ring crosses itself"
+
+
+def test_curve_keys_agree(spark):
+    from pyspark.sql import functions as F
+
+    from atlasloom.functions import cells
+
+    points = [(x * 0.37 - 181, y * 1.9 - 91) for x in range(0, 980, 13) for y in range(0, 97, 5)] + [(None, 1.0), (0.0, 0.0), (180.0, 90.0), (-180.0, -90.0)]
+    frame = spark.createDataFrame(points, "x double, y double")
+    want = [r[0] for r in frame.select(cells.hilbert_key(F.col("x"), F.col("y"))).collect()]
+    assert cells.hilbert_keys([p[0] for p in points], [p[1] for p in points]).tolist() == want
