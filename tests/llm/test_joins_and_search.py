@@ -487,7 +487,7 @@ def test_scanned_units_find_all_links(monkeypatch, most):
     monkeypatch.setattr(jaccard, "SCANNED", most)
     rnd = np.random.default_rng(4)
     base = np.arange(1000, 1100)
-    sets = [np.unique(np.concatenate([rnd.permutation(base)[: rnd.integers(60, 100)], rnd.integers(0, 1 << 40, rnd.integers(1, 30))])).astype("<u8") for _ in range(60)]
+    sets = [np.unique(np.concatenate([rnd.permutation(base)[: rnd.integers(78, 100)], rnd.integers(0, 1 << 40, rnd.integers(1, 16))])).astype("<u8") for _ in range(60)]
     rows = [(i, i % 3 > 0, s.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()) for i, s in enumerate(sets)]
     got = components.stars(*(c.to_numpy() for c in jaccard._scanned(rows).columns))
     links = [(i, j) for i in range(60) for j in range(60) if i != j and rows[i][1] and 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))]
