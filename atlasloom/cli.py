@@ -6,9 +6,11 @@ import argparse
 import json
 import sys
 
-from .plans import dataflows
+from .plans import dataflows, imports, statistics
 from .session import local_session
 
+_LOGIN = {"token": str, "user": str, "password": str, "retries": int}
+_ITEMS = {"indicators": list, "data_elements": list, "data_sets": list}
 COMMANDS = {
     "transform": (dataflows.transform, {"snapshot": str, "out": str}, {"country": str, "row_group_size": int, "partition_by": str, "keep_without_geometry": bool}),
     "inspect": (dataflows.inspect, {"out": str}, {}),
@@ -18,6 +20,12 @@ COMMANDS = {
     "load": (dataflows.load, {"given": str}, {"server": str, "dry_run": bool, "batch_size": int, "concurrency": int, "token": str, "retries": int}),
     "index": (dataflows.index, {"snapshot": str, "cells": list, "out": str}, {"refresh": bool}),
     "population": (dataflows.population, {"snapshot": str, "raster_path": str, "level": int, "year": int, "out": str}, {"source": str}),
+    "run": (imports.run, {"server": str, "snapshot": str, "out": str}, {"country": str, "row_group_size": int, "partition_by": str, "keep_without_geometry": bool, "full": bool, "since": str, "token": str, "concurrency": int, "retries": int, "max_failures": int, "cache_dir": str, "refresh": bool}),
+    "bake": (imports.bake, {"given": str, "country": str, "levels": list, "out": str}, {"alias": list, "system": str, "dissolve": bool}),
+    "bake-points": (imports.bake_points, {"given": str, "admins": str, "kind": str, "out": str}, {"id_col": str, "name_col": str, "lat_col": str, "lon_col": str, "parent": list, "identifier": list, "where": list, "cells": list, "types": list, "paired": bool}),
+    "units": (statistics.units, {"server": str, "instance": str, "out": str}, {"facility_level": int, "prefix": str, "root": str, **_LOGIN}),
+    "measures": (statistics.measures, {"server": str, "instance": str, "out": str}, {**_ITEMS, "indicator_groups": list, "data_element_groups": list, **_LOGIN}),
+    "reports": (statistics.reports, {"server": str, "instance": str, "locations": str, "out": str, "levels": [int]}, {"periods_": list, "ranges": list, "source": str, **_ITEMS, "breakdowns": list, "root": str, "campaign": str, "chunk": int, "max_rows": int, "updated_since": str, "previous": str, "changed": str, "removed": str, "checkpoint": str, **_LOGIN}),
 }
 
 
@@ -28,11 +36,12 @@ def parser() -> argparse.ArgumentParser:
         own = below.add_parser(name)
         for fields, required in ((needed, True), (more, False)):
             for field, kind in fields.items():
-                flag = f"--{field.replace('_', '-')}"
+                flag = f"--{field.strip('_').replace('_', '-')}"
                 if kind is bool:
                     own.add_argument(flag, action="store_true", default=argparse.SUPPRESS)
-                elif kind is list:
-                    own.add_argument(flag, action="append", required=required)
+                elif kind is list or isinstance(kind, list):
+                    more = {} if required else {"default": argparse.SUPPRESS}
+                    own.add_argument(flag, dest=field, action="append", required=required, type=str if kind is list else kind[0], **more)
                 else:
                     own.add_argument(flag, type=kind, required=required, default=argparse.SUPPRESS)
         own.add_argument("--report")

@@ -18,7 +18,7 @@ from ..functions.documents import Profile, dumps, references
 from ..operators import builders, bundles, edits, hierarchy, merge, places, raster
 from ..operators.order import numbered, write_text as write_lines
 from ..operators.reports import MOST_ISSUES, capped_issues, issue_counts
-from ..sources import files, geoparquet, geotiff, rest
+from ..sources import files, geoparquet, geotiff, rest, statistics
 from ..workspace import folder, written
 
 
@@ -235,8 +235,10 @@ def index(spark: SparkSession, snapshot: str, cells: list[str], out: str, refres
 
 
 def population(spark: SparkSession, snapshot: str, raster_path: str, level: int, year: int, out: str, source: str = "worldpop", profile: Profile | None = None) -> dict:
-    """Sums a raster over the units of a level, rolls them up, and writes a group for each unit."""
+    """Sums a raster (a file, or a URL that is kept in the snapshot's cache) over the units of a level, rolls them up, and writes a group for each unit."""
     path = folder(spark)
+    if "://" in raster_path:
+        raster_path = statistics.raster_file(raster_path, rest.Cache(f"{snapshot}/cache"), rest.Client(raster_path, timeout=3600))
     flat = written(places.flatten(files.read_lines(spark, f"{snapshot}/locations.ndjson"), profile), f"{path}/flat")
     rows, issues = places.located(flat, None, True, f"{path}/rows")
     grid, leaves = geotiff.read_grid(raster_path), rows.where(F.col("admin_level") == level)
@@ -245,5 +247,5 @@ def population(spark: SparkSession, snapshot: str, raster_path: str, level: int,
     rolled = raster.roll_up(leaves.select("id", "geom_type").join(sums, "id", "left").withColumns({"total": F.when(F.col("geom_type") == "polygon", F.coalesce("total", F.lit(0.0))), "pixels": F.coalesce("pixels", F.lit(0))}).drop("geom_type"), hierarchy.admin_ancestors(leaves).select("id", "ancestor"))
     docs, more = builders.population_groups(rolled, source, year, profile)
     n = write_lines(docs, out, ["id"], "json")
-    whole, assigned = raster.grand_total(tiles, grid.nodata).first()["total"] or 0.0, sums.agg(F.sum("total")).first()[0] or 0.0
-    return report_of(more, written=n, raster_total=whole, assigned_percent=round(100 * assigned / whole, 2) if whole else None)
+    total = raster.grand_total(tiles, grid.nodata)
+    return report_of(more, written=n, raster_total=total.first()["total"] or 0.0, assigned_percent=raster.assigned_share(sums, total).first()["assigned"])

@@ -93,21 +93,22 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.toDF(*[c.removeprefix("﻿") for c in rows.columns])
 
 
-def read_analytics(responses: DataFrame) -> DataFrame:
-    """(dx, pe, ou, value, numerator, denominator, option), all strings, of wide responses `text` = {headers: [{name}], rows: [[...]]}.
+def read_analytics(responses: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(the columns to keep, dx, pe, ou, value, numerator, denominator, option), all strings, of wide responses `text` = {headers: [{name}], rows: [[...]]}.
 
     Cells are found by their header's name; a response without dx, pe, ou or value fails, a missing cell is empty.
     """
     shape = "struct<headers:array<struct<name:string>>,rows:array<array<string>>>"
-    rows = responses.select(F.from_json("text", shape).alias("r")).select(F.col("r.headers.name").alias("names"), F.explode("r.rows").alias("row"))
+    keep = keep or []
+    rows = responses.select(*keep, F.from_json("text", shape).alias("r")).select(*keep, F.col("r.headers.name").alias("names"), F.explode("r.rows").alias("row"))
 
     def cell(name: str, needed: bool):
         at = F.array_position("names", name)
         found = F.coalesce(F.get("row", (at - 1).cast("int")), F.lit(""))
-        return F.when(at > 0, found).otherwise(F.raise_error(F.lit(f"no column {name}")) if needed else F.lit("")).alias(name)
+        return F.when(at > 0, found).otherwise(F.raise_error(F.lit(f"no column {name}")).cast("string") if needed else F.lit("")).alias(name)
 
-    fixed = [cell(c, c in ("dx", "pe", "ou", "value")) for c in ("dx", "pe", "ou", "value", "numerator", "denominator")]
+    fixed = [cell(c, c in ("dx", "ou", "value") or (c == "pe" and not keep)) for c in ("dx", "pe", "ou", "value", "numerator", "denominator")]
     known = F.array(*map(F.lit, ("dx", "pe", "ou", "value", "numerator", "denominator", "factor", "multiplier", "divisor")))
     extra = F.get(F.filter("names", lambda n: ~F.array_contains(known, n)), F.lit(0))
     option = F.when(extra.isNotNull(), F.get("row", (F.array_position("names", extra) - 1).cast("int")))
-    return rows.select(*fixed, F.coalesce(option, F.lit("")).alias("option"))
+    return rows.select(*keep, *fixed, F.coalesce(option, F.lit("")).alias("option"))

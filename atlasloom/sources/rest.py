@@ -129,7 +129,9 @@ class SearchReader(DataSourceReader):
         return [_Type(t) for t in self.options["types"].split(",")]
 
     def read(self, partition: InputPartition):
-        client = Client(self.options["server"], token=self.options.get("token"), retries=int(self.options.get("retries", 3)))
+        own = self.options
+        credentials = (own["client_id"], own["client_secret"], own["token_url"]) if own.get("client_id") else None
+        client = Client(own["server"], token=own.get("token"), header=own.get("header"), credentials=credentials, retries=int(own.get("retries", 3)))
         for n, (resource, issue) in enumerate(search(client, partition.value, self.options.get("since"))):
             yield partition.value, n, json.dumps(resource, ensure_ascii=False, separators=(",", ":")) if resource else None, issue
 
