@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 #: Text handed to numpy or a tokenizer at once, in bytes; only a longer single document exceeds it.
 SLICE_BYTES = 1 << 20
-#: Rows go to Python workers in batches of at most so many bytes; only a longer single document exceeds it.
-BATCH_BYTES, _BATCH_CONF, _BATCH_DEFAULT = 1 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+#: Rows go to Python workers in batches of at most 1 MB (only a longer single document exceeds it), and texts are read 512 rows at a
+#: time: setting, its default, and the value that takes the default's place.
+_BOUNDS = [("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", f"{1 << 20}b"), ("spark.sql.parquet.columnarReaderBatchSize", "4096", "512")]
 #: Tables of at most so many rows are broadcast, once counted.
 MOST_BROADCAST = 1 << 20
 #: A key is hot if it holds more than LEAST_HOT rows and more than 1 of HOT_KEYS of all rows: there are fewer than HOT_KEYS such keys.
@@ -45,10 +46,11 @@ def workspace(spark: SparkSession) -> str:
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """df itself; its session from now on hands rows to Python workers in batches of BATCH_BYTES, unless it names another size."""
+    """df itself; its session from now on reads texts and hands rows to Python workers in small batches, unless it names sizes of its own."""
     conf = df.sparkSession.conf
-    if conf.get(_BATCH_CONF, _BATCH_DEFAULT) == _BATCH_DEFAULT:
-        conf.set(_BATCH_CONF, f"{BATCH_BYTES}b")
+    for name, default, small in _BOUNDS:
+        if conf.get(name, default) == default:
+            conf.set(name, small)
     return df
 
 
