@@ -8,12 +8,20 @@ the ids of the whole text:
 * BPE with word ends, white space dropped: at white space.
 
 Texts with the four separators U+001C..U+001F, on which white space definitions differ, are encoded whole.
+
+Byte-level BPE merges the pair of least rank first. Where a file's merges are its tokens in ascending order, each token
+by one merge, the ranks of tokens say the same, and a word of letters (or digits) with ASCII signs around it is merged by
+tiktoken's engine, a word at a time; the pre-tokenizer cuts such a word at its signs in every version of Unicode. All
+other pieces go through the tokenizers library itself.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
+from collections.abc import Callable
 from itertools import filterfalse
 
 import numpy as np
@@ -23,12 +31,46 @@ from .common import claim
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Cached pieces per worker: beyond it a new cache begins, into which pieces of the old one move when they
 #: are met again. A bound on memory alone: the ids do not depend on it.
-CACHED = 480_000
+CACHED = 640_000
 _DISPUTED = "\x1c\x1d\x1e\x1f"
 _RUN = re.compile(r"\s\s")
 _PLAIN = re.compile("[^\\s\x01\x1e]+").fullmatch
 _PIECE = re.compile(r"\s+(?!\S)|\s?\S+|\s+")
 _encoders: dict[tuple[str, str], Encoder] = {}
+#: Signs, then letters that have been letters since Unicode 3 or digits, then signs.
+_SIGNS = r"([!-/:-@\[-`{-~]*)"
+_SIMPLE = re.compile(_SIGNS + "([A-Za-zÀ-ÖØ-öø-ɏА-яЁёα-ωぁ-んァ-ヴ一-龥가-힣]+|[0-9]+)" + _SIGNS).fullmatch
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters for themselves, the others in order from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(rest)}
+
+
+def _ranked(path: str) -> Callable[[bytes], list[int]] | None:
+    """Ids of a word's bytes by ranks of tokens, if the file allows it."""
+    try:
+        import tiktoken
+    except ImportError:
+        return None
+    with open(path) as f:
+        spec = json.load(f)
+    model, shape = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if odd or model.get("type") != "BPE" or spec.get("normalizer") or shape.get("type") != "ByteLevel" or shape.get("add_prefix_space") or not shape.get("use_regex", True):
+        return None
+    vocab, alphabet = model["vocab"], byte_alphabet()
+    merged = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    if None in merged or any(a >= b for a, b in zip(merged[:-1], merged[1:], strict=True)):
+        return None
+    whole = {t: i for t, i in vocab.items() if all(c in alphabet for c in t)}
+    singles = {t: i for t, i in whole.items() if len(t) == 1}
+    if len(singles) != 256 or max(singles.values()) >= merged[0] or set(whole.values()) != set(singles.values()) | set(merged):
+        return None  # tokens that no merge makes would be merged all the same
+    ranks = {bytes(alphabet[c] for c in t): i for t, i in whole.items()}
+    return tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
 
 class Encoder:
@@ -42,6 +84,11 @@ class Encoder:
         self.separator = "\n" if style == "byte" else " \x01 "
         mark = self._whole(["\n" if style == "byte" else "\x01"])[0]
         self.mark = int(np.frombuffer(mark, self.dtype)[0]) if len(mark) == self.dtype.itemsize else None
+        self.ranked = _ranked(path) if style == "byte" else None
+        self.signs: dict[str, list[int]] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(x.isalnum() for x in self.added):
+            self.ranked = None
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         if hasattr(self.tokenizer.model, "_resize_cache"):
@@ -51,6 +98,36 @@ class Encoder:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _joined(self, pieces: list[str], lead: str) -> list[bytes]:
+        """Ids of pieces without white space, each after `lead`."""
+        if self.ranked is None:
+            return self._together(pieces, lead)
+        merge, simple, code, held, added = self.ranked, _SIMPLE, "H" if self.dtype.itemsize == 2 else "I", self.signs, self.added
+        found: list[bytes | None] = []
+        for p in pieces:
+            parts = simple(p)
+            if parts is None:
+                found.append(None)
+                continue
+            before, core, after = parts.groups()
+            # where a shortened word may begin, or an added token stands, the library decides
+            if (before == "'" and not lead) or ((before or after) and any(x in p for x in added)):
+                found.append(None)
+                continue
+            if before:
+                ids = merge((lead + before).encode()) + merge(core.encode())
+            else:
+                ids = merge((lead + core).encode())
+            if after:
+                if after not in held and len(held) < 4096:
+                    held[after] = merge(after.encode())
+                ids = ids + (held[after] if after in held else merge(after.encode()))
+            found.append(array(code, ids).tobytes())
+        rest = [i for i, x in enumerate(found) if x is None]
+        for i, ids in zip(rest, self._together([pieces[i] for i in rest], lead) if rest else [], strict=True):
+            found[i] = ids
+        return found
+
+    def _together(self, pieces: list[str], lead: str) -> list[bytes]:
         """Ids of pieces without white space, each after `lead`: encoded as one text with separators between."""
         if self.mark is None or len(pieces) < 2:
             return self._whole([lead + p for p in pieces])
