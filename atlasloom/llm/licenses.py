@@ -114,6 +114,11 @@ _SPDX = [
     ("MIT", "permissive", ["mit"]),
     ("MPL-2.0", "copyleft", ["mpl 2 0", "mpl 2 0 no copyleft exception"]),
     ("Unlicense", "permissive", ["unlicense"]),
+    ("0BSD", "permissive", ["0bsd"]),
+    ("BSL-1.0", "permissive", ["bsl 1 0"]),
+    ("CC0-1.0", "permissive", ["cc0 1 0"]),
+    ("EPL-2.0", "copyleft", ["epl 2 0"]),
+    ("Zlib", "permissive", ["zlib"]),
     *((x, "copyleft", [x.lower().replace("-", " ").replace(".", " ") + end for end in ("", " only", " or later")]) for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-1.0", "AGPL-3.0")),
 ]
 _SPDX_NAMES = {sentence: name for name, sentence in SENTENCES.items() if "-spdx" in name}
@@ -123,6 +128,22 @@ def _spdx(name: str) -> str:
     return _SPDX_NAMES.get(f"spdx license identifier {name}", "spdx-" + name.replace(" ", "-"))
 
 
+# Identifier, licence, class, and the title or opening sentences that the licences' own texts have, normalised.
+_BODIES = [
+    ("apache2-body", "Apache-2.0", "permissive", ["apache license version 2 0 january 2004"]),
+    ("gpl2-body", "GPL-2.0", "copyleft", ["gnu general public license version 2 june 1991"]),
+    ("gpl3-body", "GPL-3.0", "copyleft", ["gnu general public license version 3 29 june 2007"]),
+    ("lgpl21-body", "LGPL-2.1", "copyleft", ["gnu lesser general public license version 2 1 february 1999"]),
+    ("lgpl3-body", "LGPL-3.0", "copyleft", ["gnu lesser general public license version 3 29 june 2007"]),
+    ("agpl3-body", "AGPL-3.0", "copyleft", ["gnu affero general public license version 3 19 november 2007"]),
+    ("mpl2-body", "MPL-2.0", "copyleft", ["mozilla public license version 2 0"]),
+    ("epl2-body", "EPL-2.0", "copyleft", ["eclipse public license v 2 0"]),
+    ("bsl1-body", "BSL-1.0", "permissive", ["boost software license version 1 0 august 17th 2003"]),
+    ("zlib-body", "Zlib", "permissive", ["this software is provided as is without any express or implied warranty", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"]),
+    ("cc0-ref", "CC0-1.0", "permissive", ["licensed under cc0 1 0"]),
+]
+
+
 #: Further known sentences, and forms of the above, as official notices have them; | is where a sign may end a fragment.
 NOTICES = {
     "mpl2-ref": "this source code form is subject to the terms of the mozilla public license v | 2 0",
@@ -130,12 +151,14 @@ NOTICES = {
     "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty",
     **{f"{i}-terms": _TERMS.format(kind) + _LATER.format(v) for i, _, kind, v in _GNU},
     **{f"{i}-terms-only": _TERMS.format(kind) + _ONLY.format(v) for i, _, kind, v in _GNU},
+    **{f"{i}-{k}": s for i, _, _, sentences in _BODIES for k, s in enumerate(sentences)},
     **{_spdx(name): f"spdx license identifier | {name}" for _, _, names in _SPDX for name in names},
 }
 KNOWN = SENTENCES | NOTICES
 ALL_RULES = [
     *RULES,
     *((licence, "copyleft", [f"{head}-head", i + terms, f"{head}-hope"]) for i, licence, _, _ in _GNU for terms in ("-terms", "-terms-only") for head in ("gpl", "lgpl")),
+    *((licence, kind, [f"{i}-{k}" for k in range(len(sentences))]) for i, licence, kind, sentences in _BODIES),
     *((licence, kind, [_spdx(name)]) for licence, kind, names in _SPDX for name in names),
 ]
 #: Every known sentence holds one of these; a text without them is not cut.
@@ -187,6 +210,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def matched(pick: int) -> Column:
         hits = [F.when(line.like("%" + "%".join(f"<{i}>" for i in ids) + "%"), F.lit((licence, kind)[pick])) for licence, kind, ids in ALL_RULES]
-        return F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))), ",")
+        found = F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))), ",")
+        return F.when(F.size("_names") == 0, "").otherwise(found)
 
     return rows.select(F.col("_id").alias(id_col), F.size("_names").cast("long").alias("n_known"), F.array_join("_names", " ").alias("identifiers"), matched(0).alias("licences"), matched(1).alias("classes"))
