@@ -152,7 +152,7 @@ def q_boundary_kinds(spark, sf_dir):
     return places.flatten(lines).select("id", "geom_type", F.array_join(F.transform("issues", lambda i: i["kind"]), ",").alias("issues"))
 
 
-_GRID = geotiff.Grid("", 360, 96, -92.0, 24.0, 0.5, 0.5, -4.0, (32, 32), [], [], False, "<")
+_GRID = geotiff.Grid("", 360, 96, -92.0, 24.0, 0.5, 0.5, -4.0, (32, 32), [], [], 1, "<")
 _VALUES = """v AS (SELECT r, c, -92.0 + (c + 0.5) * 0.5 AS lon, 24.0 - (r + 0.5) * 0.5 AS lat, ((r * 37 + c * 11) % 101 - 4) AS v FROM range(96) a(r), range(360) b(c))"""
 
 

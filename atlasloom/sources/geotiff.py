@@ -1,4 +1,4 @@
-"""Single-band float GeoTIFF rasters as tiles: strips or tiles, uncompressed or deflate, geographic and north-up."""
+"""Single-band float GeoTIFF rasters as tiles: strips or tiles, plain, deflate, LZW or packed bits, with predictors; geographic and north-up."""
 
 from __future__ import annotations
 
@@ -16,6 +16,50 @@ PREDICTOR, SCALE, TIEPOINT, KEYS, NODATA = 317, 33550, 33922, 34735, 42113
 _SIZES = {1: ("B", 1), 2: ("s", 1), 3: ("H", 2), 4: ("I", 4), 12: ("d", 8), 16: ("Q", 8)}
 
 
+def _lzw(raw: bytes) -> bytes:
+    """Codes of 9 to 12 bits, most significant first; 256 begins a new table, 257 ends."""
+    out, at, held, size, i = [], 0, 0, 9, 0
+    table: list[bytes] = []
+    last = b""
+    while True:
+        while held < size:
+            if i == len(raw):
+                return b"".join(out)
+            at, held, i = at << 8 | raw[i], held + 8, i + 1
+        held -= size
+        code = at >> held
+        at &= (1 << held) - 1
+        if code == 257:
+            return b"".join(out)
+        if code == 256:
+            table, size, last = [bytes([b]) for b in range(256)] + [b"", b""], 9, b""
+            continue
+        if not table:
+            raise ValueError("LZW data without a first table")
+        text = table[code] if code < len(table) else last + last[:1]
+        out.append(text)
+        if last:
+            table.append(last + text[:1])
+        last = text
+        size = 12 if len(table) >= 2047 else 11 if len(table) >= 1023 else 10 if len(table) >= 511 else 9
+
+
+def _packed(raw: bytes) -> bytes:
+    out, i = [], 0
+    while i < len(raw):
+        n = raw[i]
+        if n < 128:
+            out.append(raw[i + 1 : i + n + 2])
+            i += n + 2
+        else:
+            out.append(raw[i + 1 : i + 2] * (257 - n) if n > 128 else b"")
+            i += 2 if n > 128 else 1
+    return b"".join(out)
+
+
+_UNPACK = {1: bytes, 5: _lzw, 8: zlib.decompress, 32946: zlib.decompress, 32773: _packed}
+
+
 @dataclass
 class Grid:
     """Where the pixels of a raster lie, and how its file is cut into tiles."""
@@ -31,8 +75,9 @@ class Grid:
     tile: tuple[int, int]
     offsets: list[int]
     counts: list[int]
-    deflate: bool
+    compression: int
     order: str
+    predictor: int = 1
 
     @property
     def across(self) -> int:
@@ -61,8 +106,8 @@ def read_grid(path: str) -> Grid:
     one = lambda tag, default: tags.get(tag, [default])[0]
     if one(BANDS, 1) != 1 or one(BITS, 1) != 32 or one(FORMAT, 1) != 3:
         raise ValueError("only one band of 32-bit floats is supported")
-    if one(COMPRESSION, 1) not in (1, 8, 32946) or one(PREDICTOR, 1) != 1:
-        raise ValueError("only uncompressed and deflate data without a predictor are supported")
+    if one(COMPRESSION, 1) not in _UNPACK or one(PREDICTOR, 1) not in (1, 2, 3):
+        raise ValueError("only plain, deflate, LZW and packed-bits data are supported")
     if SCALE not in tags or len(tags.get(TIEPOINT, [])) != 6:
         raise ValueError("a pixel scale and a single tie point are needed")
     keys = {tags[KEYS][i]: tags[KEYS][i + 3] for i in range(4, len(tags.get(KEYS, [])), 4)}
@@ -76,7 +121,7 @@ def read_grid(path: str) -> Grid:
     tiled = TILE_OFFSETS in tags
     shape = (tags[TILE_WIDTH][0], tags[TILE_HEIGHT][0]) if tiled else (width, min(height, one(ROWS, height)))
     nodata = float(tags[NODATA]) if tags.get(NODATA) else None
-    return Grid(path, width, height, x - i * dx, y + j * dy, dx, dy, nodata, shape, tags[TILE_OFFSETS if tiled else OFFSETS], tags[TILE_COUNTS if tiled else COUNTS], one(COMPRESSION, 1) != 1, order)
+    return Grid(path, width, height, x - i * dx, y + j * dy, dx, dy, nodata, shape, tags[TILE_OFFSETS if tiled else OFFSETS], tags[TILE_COUNTS if tiled else COUNTS], one(COMPRESSION, 1), order, one(PREDICTOR, 1))
 
 
 def read_tile(grid: Grid, number: int) -> np.ndarray:
@@ -84,11 +129,19 @@ def read_tile(grid: Grid, number: int) -> np.ndarray:
     with open(grid.path, "rb") as f:
         f.seek(grid.offsets[number])
         raw = f.read(grid.counts[number])
-    raw = zlib.decompress(raw) if grid.deflate else raw
+    raw = _UNPACK[grid.compression](raw)
     w, h = grid.tile
     ty, tx = divmod(number, grid.across)
     rows = len(raw) // 4 // w
-    return np.frombuffer(raw, grid.order + "f4").reshape(rows, w)[: min(h, grid.height - ty * h), : min(w, grid.width - tx * w)]
+    raw = raw[: rows * w * 4]
+    if grid.predictor == 3:  # bytes of like weight lie together, and each is a difference to the one before
+        planes = np.cumsum(np.frombuffer(raw, np.uint8).reshape(rows, 4 * w), axis=1, dtype=np.uint8)
+        values = np.ascontiguousarray(planes.reshape(rows, 4, w).transpose(0, 2, 1)).view(">f4").reshape(rows, w)
+    elif grid.predictor == 2:
+        values = np.cumsum(np.frombuffer(raw, grid.order + "u4").reshape(rows, w), axis=1, dtype=np.uint32).view(np.float32)
+    else:
+        values = np.frombuffer(raw, grid.order + "f4").reshape(rows, w)
+    return values[: min(h, grid.height - ty * h), : min(w, grid.width - tx * w)]
 
 
 def tiles(spark: SparkSession, path: str) -> DataFrame:

@@ -131,6 +131,51 @@ def test_raster_sums(spark, tmp_path):
         geotiff.read_grid(str(tmp_path / "x.tif"))
 
 
+def lzw(raw):
+    """An encoder that restarts its table now and then."""
+    bits, table, size, last = "", {}, 9, b""
+
+    def put(code):
+        nonlocal bits
+        bits += format(code, f"0{size}b")
+
+    def fresh():
+        nonlocal table, size
+        put(256)
+        table, size = {bytes([b]): b for b in range(256)}, 9
+
+    fresh()
+    for b in raw:
+        if last + bytes([b]) in table:
+            last += bytes([b])
+            continue
+        put(table[last])
+        table[last + bytes([b])] = len(table) + 2
+        size = max(9, min(12, (len(table) + 2).bit_length()))
+        last = bytes([b])
+        if len(table) > 4000:
+            put(table[last])
+            last = b""
+            fresh()
+    if last:
+        put(table[last])
+    put(257)
+    return bytes(int(bits[i : i + 8].ljust(8, "0"), 2) for i in range(0, len(bits), 8))
+
+
+def test_packed_rasters_are_read(tmp_path):
+    values = (np.arange(16)[:, None] * 3.5 + np.arange(16) % 7).astype("<f4")
+    plain = values.tobytes()
+    assert geotiff._lzw(lzw(plain * 30)) == plain * 30 and geotiff._packed(bytes([2, 1, 2, 3, 254, 9, 128, 0, 7])) == b"\x01\x02\x03\x09\x09\x09\x07"
+    planes = values.astype(">f4").view(np.uint8).reshape(16, 16, 4).transpose(0, 2, 1).reshape(16, 64)
+    third = np.diff(planes, axis=1, prepend=np.uint8(0)).astype(np.uint8).tobytes()
+    second = np.diff(values.view(np.uint32), axis=1, prepend=np.uint32(0)).astype("<u4").tobytes()
+    for k, (body, compression, predictor) in enumerate([(plain, 1, 1), (lzw(plain), 5, 1), (lzw(third), 5, 3), (second, 1, 2)]):
+        (tmp_path / f"{k}.bin").write_bytes(body)
+        grid = geotiff.Grid(str(tmp_path / f"{k}.bin"), 16, 16, 0, 0, 1, 1, None, (16, 16), [0], [len(body)], compression, "<", predictor)
+        assert (geotiff.read_tile(grid, 0) == values).all()
+
+
 def test_builders(spark):
     found = builders.measures(spark.createDataFrame([("a_b", "n", "#{x}", "1", 1.0), ("c", "n", "#{x}", "#{y}", 100.0)], "id string, name string, numerator string, denominator string, factor double")).collect()
     assert [(r["id"], r["scoring"]) for r in found] == [("measure-a-b", "cohort"), ("measure-c", "proportion")]
