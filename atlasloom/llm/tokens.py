@@ -11,8 +11,10 @@ Texts with the four separators U+001C..U+001F, on which white space definitions
 
 Byte-level BPE merges the pair of least rank first. Where a file's merges are its tokens in ascending order, each token
 by one merge, the ranks of tokens say the same, and a word of letters (or digits) with ASCII signs around it is merged by
-tiktoken's engine, a word at a time; the pre-tokenizer cuts such a word at its signs in every version of Unicode. All
-other pieces go through the tokenizers library itself.
+tiktoken's engine, a word at a time; the pre-tokenizer cuts such a word at its signs in every version of Unicode. BPE with
+word ends is the same over words that end in a byte no UTF-8 text has, whose merges with the last byte come before all
+others; its normaliser lower-cases such words and its pre-tokenizer cuts digits apart. All other pieces go through the tokenizers
+library itself.
 """
 
 from __future__ import annotations
@@ -49,28 +51,75 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-def _ranked(path: str) -> Callable[[bytes], list[int]] | None:
-    """Ids of a word's bytes by ranks of tokens, if the file allows it."""
+#: The normaliser and the cutting pattern of files with word ends that are known to treat simple words as said above.
+_WORD_FORMS = ["NFC", "Replace", "Lowercase"], r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_END, _SUFFIX = 0xFF, "</w>"
+
+
+def _engine(ranks: dict[bytes, int]) -> Callable[[bytes], list[int]]:
+    import tiktoken
+
+    return tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
+def _ascending(model: dict) -> list[str] | None:
+    """What the merges make, in order, if these are tokens with ascending ids."""
+    made = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    ids = [model["vocab"].get(t) for t in made]
+    return None if None in ids or any(a >= b for a, b in zip(ids[:-1], ids[1:], strict=True)) else made
+
+
+def _ranked_ends(path: str) -> tuple[Callable[[bytes], list[int]], list[int]] | None:
+    """(ranks of a word's bytes and _END, the id of each rank) for BPE with word ends, if the file allows it."""
+    with open(path) as f:
+        spec = json.load(f)
+    model, alphabet = spec["model"], byte_alphabet()
+    odd = any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges", "unk_token"))
+    forms = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    cut = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if odd or model.get("type") != "BPE" or model.get("end_of_word_suffix") != _SUFFIX or forms != _WORD_FORMS[0] or len(cut) != 2:
+        return None
+    if cut[0].get("type") != "Split" or (cut[0].get("pattern") or {}).get("Regex") != _WORD_FORMS[1] or not cut[0].get("invert") or cut[0].get("behavior") != "Removed" or cut[1].get("type") != "ByteLevel" or cut[1].get("use_regex") or cut[1].get("add_prefix_space"):
+        return None
+    vocab, made = model["vocab"], _ascending(model)
+    if made is None or not all(c in vocab and c + _SUFFIX in vocab for c in alphabet):
+        return None
+    ranks, ids = {}, [0] * (512 + len(made))
+    for c, b in alphabet.items():
+        ranks[bytes([b, _END])], ids[b] = b, vocab[c + _SUFFIX]
+        ranks[bytes([b])], ids[256 + b] = 256 + b, vocab[c]
+    for k, t in enumerate(made):
+        ended = t.endswith(_SUFFIX)
+        raw = bytes(alphabet[c] for c in (t.removesuffix(_SUFFIX) if ended else t)) + bytes([_END] * ended)
+        if raw in ranks:
+            return None
+        ranks[raw], ids[512 + k] = 512 + k, vocab[t]
     try:
-        import tiktoken
+        return _engine(ranks), ids
     except ImportError:
         return None
+
+
+def _ranked(path: str) -> Callable[[bytes], list[int]] | None:
+    """Ids of a word's bytes by ranks of tokens, if the file allows it."""
     with open(path) as f:
         spec = json.load(f)
     model, shape = spec["model"], spec.get("pre_tokenizer") or {}
     odd = any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
     if odd or model.get("type") != "BPE" or spec.get("normalizer") or shape.get("type") != "ByteLevel" or shape.get("add_prefix_space") or not shape.get("use_regex", True):
         return None
-    vocab, alphabet = model["vocab"], byte_alphabet()
-    merged = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
-    if None in merged or any(a >= b for a, b in zip(merged[:-1], merged[1:], strict=True)):
+    vocab, alphabet, made = model["vocab"], byte_alphabet(), _ascending(model)
+    if made is None:
         return None
+    merged = [vocab[t] for t in made]
     whole = {t: i for t, i in vocab.items() if all(c in alphabet for c in t)}
     singles = {t: i for t, i in whole.items() if len(t) == 1}
     if len(singles) != 256 or max(singles.values()) >= merged[0] or set(whole.values()) != set(singles.values()) | set(merged):
         return None  # tokens that no merge makes would be merged all the same
-    ranks = {bytes(alphabet[c] for c in t): i for t, i in whole.items()}
-    return tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    try:
+        return _engine({bytes(alphabet[c] for c in t): i for t, i in whole.items()})
+    except ImportError:
+        return None
 
 
 class Encoder:
@@ -85,10 +134,11 @@ class Encoder:
         mark = self._whole(["\n" if style == "byte" else "\x01"])[0]
         self.mark = int(np.frombuffer(mark, self.dtype)[0]) if len(mark) == self.dtype.itemsize else None
         self.ranked = _ranked(path) if style == "byte" else None
+        self.ends = _ranked_ends(path) if style == "word" else None
         self.signs: dict[str, list[int]] = {}
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if any(x.isalnum() for x in self.added):
-            self.ranked = None
+            self.ranked = self.ends = None
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         if hasattr(self.tokenizer.model, "_resize_cache"):
@@ -99,6 +149,8 @@ class Encoder:
 
     def _joined(self, pieces: list[str], lead: str) -> list[bytes]:
         """Ids of pieces without white space, each after `lead`."""
+        if self.ends is not None:
+            return self._filled(pieces, lead, self._ended(pieces))
         if self.ranked is None:
             return self._together(pieces, lead)
         merge, simple, code, held, added = self.ranked, _SIMPLE, "H" if self.dtype.itemsize == 2 else "I", self.signs, self.added
@@ -122,6 +174,39 @@ class Encoder:
                     held[after] = merge(after.encode())
                 ids = ids + (held[after] if after in held else merge(after.encode()))
             found.append(array(code, ids).tobytes())
+        return self._filled(pieces, lead, found)
+
+    def _ended(self, pieces: list[str]) -> list[bytes | None]:
+        """Ids of simple pieces by BPE with word ends; None for the others."""
+        (merge, ids), simple, code, held, added = self.ends, _SIMPLE, "H" if self.dtype.itemsize == 2 else "I", self.signs, self.added
+        found: list[bytes | None] = []
+
+        def sign(text: str) -> list[int]:
+            if text not in held and len(held) < 4096:
+                held[text] = merge(text.encode() + b"\xff")
+            return held[text] if text in held else merge(text.encode() + b"\xff")
+
+        for p in pieces:
+            parts = simple(p)
+            if parts is None:
+                found.append(None)
+                continue
+            before, core, after = parts.groups()
+            low = core.lower()
+            # where a shortened word may begin, an added token stands, or a letter becomes two, the library decides
+            if before == "'" or len(low) != len(core) or ((before or after) and any(x in p for x in added)):
+                found.append(None)
+                continue
+            ranks = merge(low.encode() + b"\xff") if not "0" <= core[0] <= "9" else [r for d in core for r in sign(d)]
+            if before:
+                ranks = sign(before) + ranks
+            if after:
+                ranks = ranks + sign(after)
+            found.append(array(code, [ids[r] for r in ranks]).tobytes())
+        return found
+
+    def _filled(self, pieces: list[str], lead: str, found: list[bytes | None]) -> list[bytes]:
+        """`found` with the library's ids where there are none yet."""
         rest = [i for i, x in enumerate(found) if x is None]
         for i, ids in zip(rest, self._together([pieces[i] for i in rest], lead) if rest else [], strict=True):
             found[i] = ids
