@@ -24,15 +24,24 @@ def first_of_each(records: DataFrame, key: str = "id", order: str = "seq") -> Da
 
 
 def duplicates(records: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
-    """(id, seq) of the records after the first of their id."""
-    first = records.groupBy(key).agg(F.min(order).alias("_first"), F.count("*").alias("_n")).where("_n > 1").select(F.col(key).alias("_k"), "_first")
+    """(id, seq) of the records after the first of their id. Only ids that occur twice are looked at in order."""
+    twice = records.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
+    first = records.join(twice, key, "left_semi").groupBy(key).agg(F.min(order).alias("_first")).select(F.col(key).alias("_k"), "_first")
     return records.join(first, (F.col(key) == F.col("_k")) & (F.col(order) > F.col("_first"))).select(key, order)
 
 
 def orphans(records: DataFrame) -> DataFrame:
     """Records, repeated ones too, whose parent is not among the ids."""
-    ids = records.select(F.col("id").alias("_id")).distinct()
-    return records.where("part_of is not null").join(ids, F.col("part_of") == F.col("_id"), "left_anti")
+    named, known = _parents(records)
+    gone = named.join(known, F.col("_up") == F.col("_id"), "left_anti")
+    return records.join(gone, F.col("part_of") == F.col("_up"), "left_semi")
+
+
+def _parents(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((_up) the distinct ids that records name as their parent, (_id) those of them that are records). They are few beside the records, which
+    are then not shuffled by id."""
+    named = records.where("part_of is not null").select(F.col("part_of").alias("_up")).distinct()
+    return named, records.select(F.col("id").alias("_id")).join(named, F.col("_id") == F.col("_up"), "left_semi").distinct()
 
 
 def resolve(records: DataFrame) -> DataFrame:
@@ -42,10 +51,9 @@ def resolve(records: DataFrame) -> DataFrame:
     # ids that occur once, which are nearly all, need no look at their order
     twice = written(records.where("id is not null").groupBy("id").agg(F.count("*").alias("_n")).where("_n > 1").select("id"), f"{path}/twice")
     first = records.where("id is not null").join(twice, "id", "left_anti").unionByName(first_of_each(records.join(twice, "id", "left_semi")))
-    known = first.select(F.col("id").alias("_id"))
-    linked = first.join(known, F.col("part_of") == F.col("_id"), "left").withColumnRenamed("_id", "parent")
-    linked = written(linked, f"{path}/linked")
-    inner = linked.join(linked.where("parent is not null").select(F.col("parent").alias("_p")).distinct(), F.col("id") == F.col("_p"), "left_semi")
+    known = written(_parents(first)[1], f"{path}/known")
+    linked = written(first.join(known, F.col("part_of") == F.col("_id"), "left").withColumnRenamed("_id", "parent"), f"{path}/linked")
+    inner = linked.join(known, F.col("id") == F.col("_id"), "left_semi")
     inner = written(inner.select("id", "parent", (F.col("type") == ADMIN).alias("admin"), "name", "pcode"), f"{path}/inner")
     own = inner.select(F.col("id").alias("_i"), F.struct("id", "admin", "name", "pcode").alias("_own"), F.col("parent").alias("_top"))
     state = inner.select("id", F.col("parent").alias("top"), F.array().cast(CHAIN).alias("chain"))
@@ -119,7 +127,8 @@ def hierarchy_issues(records: DataFrame, resolved: DataFrame) -> DataFrame:
     found = issue(duplicates(records), F.lit("duplicate_id"), F.col("seq"))
     found = found.unionByName(issue(orphans(records), F.lit("orphan"), F.col("part_of")))
     found = found.unionByName(issue(resolved.where("dropped is not null"), F.col("dropped"), F.col("parent")))
-    beyond = with_levels(resolved.where("dropped is null")).where(F.col("admin_level") >= ADMIN_COLUMNS)
+    deep = resolved.where((F.col("type") == ADMIN) & (F.size("chain") >= ADMIN_COLUMNS) & F.col("dropped").isNull())
+    beyond = with_levels(deep).where(F.col("admin_level") >= ADMIN_COLUMNS)
     return found.unionByName(issue(beyond, F.lit("admin_level_beyond_columns"), F.col("admin_level")))
 
 

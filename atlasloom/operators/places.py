@@ -150,8 +150,9 @@ def outside_parent(rows: DataFrame) -> DataFrame:
     gathers all points of one polygon.
     """
     polygons = rows.where("geom_type = 'polygon'").select(F.col("id").alias("polygon"), F.col("geometry").alias("wkb"))
-    parents = rows.where("lon is not null and size(chain) > 0").groupBy(F.get("chain", F.lit(0))["id"].alias("up")).agg(F.any_value(F.transform("chain", lambda n: n["id"])).alias("line"))
-    parents = parents.select("up", F.posexplode("line").alias("far", "polygon")).join(polygons.select("polygon"), "polygon", "left_semi")
+    line = F.array_join(F.transform("chain", lambda n: n["id"]), "\x01")  # a text, so that equal ones are found by hashing
+    parents = rows.where("lon is not null and size(chain) > 0").select(line.alias("line")).distinct()
+    parents = parents.select(F.substring_index("line", "\x01", 1).alias("up"), F.posexplode(F.split("line", "\x01")).alias("far", "polygon")).join(polygons.select("polygon"), "polygon", "left_semi")
     parents = parents.groupBy("up").agg(F.min(F.struct("far", "polygon"))["polygon"].alias("polygon"))
     near = rows.where("lon is not null and size(chain) > 0").select("id", "lon", "lat", F.get("chain", F.lit(0))["id"].alias("up")).join(parents, "up").drop("up")
     sizes = near.groupBy("polygon").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
@@ -160,9 +161,9 @@ def outside_parent(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, points, wkb in zip(*(batch.column(c).to_pylist() for c in ("polygon", "points", "wkb")), strict=True):
-                x, y = (np.array([p[c] for p in points]) for c in ("lon", "lat"))
-                out = [p["id"] for p, good in zip(points, geo.intersects(geo.from_wkb(wkb), x, y), strict=True) if not good]
+            for name, points, wkb in zip(batch.column("polygon").to_pylist(), batch.column("points"), batch.column("wkb").to_pylist(), strict=True):
+                x, y = (points.values.field(c).to_numpy() for c in ("lon", "lat"))
+                out = points.values.field("id").filter(pa.array(~geo.intersects(geo.from_wkb(wkb), x, y))).to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array(["point_outside_parent"] * len(out), pa.string()), pa.array(out, pa.string()), pa.array([f"outside {name}"] * len(out), pa.string())], names=["kind", "location_id", "detail"])
 
     return chunks.join(polygons, "polygon").mapInArrow(run, "kind string, location_id string, detail string")
