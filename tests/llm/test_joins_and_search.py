@@ -111,6 +111,28 @@ def test_all_links_equal_brute_force(spark, monkeypatch, light, common):
     assert part.join(spark.createDataFrame([r[:2] for r in got], "a long, b long"), ["a", "b"], "left_semi").count() < len(got) - 300
 
 
+def changed(words, counts, seed):
+    """Copies of one text with so many words changed, five or more words apart."""
+    rnd = random.Random(seed)
+    out = []
+    for k in counts:
+        own = [f"b{i}" for i in range(words)]
+        for at in rnd.sample(range(5, words - 5, 6), k):
+            own[at] = f"c{rnd.randint(0, 10**9)}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_lists_leave_out_entries_too_late_for_any_pair(spark):
+    docs = spark.createDataFrame(list(enumerate(changed(150, [5] * 60, 3))), "doc long, text string")
+    *_, lists, _ = jaccard._lists(docs, common.workspace(spark))
+    assert lists.count() == 0
+    texts = [t for words in (150, 156, 165, 180, 190) for t in changed(words, [0, 1, 2, 3, 3, 4, 4, 5, 6, 7], words)]
+    rows = [(7 * i + 2, t) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_groups(rows) and 1 < len({c for _, c in got.values()}) < len(rows)
+
+
 def test_keep_one_keeps_one_row_of_each_group(spark):
     """Nameless rows go if a document with an id is like them, else one of them stays; of rows with one id one stays."""
     base = " ".join(f"q{i}" for i in range(40))
